@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import neighbours, split
+from tidemill.llm import garble, neighbours, split
 from tidemill.sources.tables import table
 
 
@@ -38,8 +38,19 @@ def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir)
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return garble.find_garbled(docs, "text", with_text=False).where("n_garbled > 0").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The garbled documents, each with its text as it was meant as far as that is known."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return garble.find_garbled(docs, "text").where("n_garbled > 0").select("doc_id", "n_garbled", "restorable", "restored")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_neighbours)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_neighbours, p8_found, p8_restored)}
 
 
 _P2 = """
