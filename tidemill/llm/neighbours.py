@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of classifiers sent to every executor at once; groups beyond it are handled in further passes.
@@ -29,11 +29,11 @@ class Settings:
 
     k: int = 5
     dim: int = 512
-    cell_rows: int = 2048
-    probes: int = 4
+    cell_rows: int = 4096
+    probes: int = 3
     sample_rows: int = 4096
     max_parts: int = 1024
-    block_rows: int = 6144
+    block_rows: int = 8192
     graph_k: int = 10
 
 
@@ -149,11 +149,46 @@ def _hash(ids: list[str], salt: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(i, seed=salt) for i in ids], dtype=np.uint64)
 
 
-def _binary(x: np.ndarray) -> pa.Array:
-    """Rows of float32 as binary values."""
-    x = np.ascontiguousarray(x, dtype=np.float32)
-    off = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 4)
-    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(off), pa.py_buffer(x)])
+def pack_vectors(x: np.ndarray) -> list[bytes]:
+    """Rows of float32, without loss: as float16 where that holds them exactly, their bytes in
+    planes (all first bytes, all second, ...), compressed."""
+    import zstandard
+
+    zip1 = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
+    half = x.astype(np.float16)
+    exact = (half.astype(np.float32) == x).all(1)
+    out = []
+    for small, h, f in zip(exact, half, x):
+        v = h if small else f
+        out.append((b"h" if small else b"f") + zip1(v.view(np.uint8).reshape(len(v), -1).T.tobytes()))
+    return out
+
+
+def unpack_vectors(rows: list[bytes], dim: int) -> np.ndarray:
+    import zstandard
+
+    unzip = zstandard.ZstdDecompressor().decompress
+    out = np.empty((len(rows), dim), dtype=np.float32)
+    for i, r in enumerate(rows):
+        kind = np.float16 if r[:1] == b"h" else np.float32
+        out[i] = np.frombuffer(unzip(r[1:]), np.uint8).reshape(-1, dim).T.copy().view(kind)[:, 0]
+    return out
+
+
+def pack_id(s: str) -> bytes:
+    """An identifier in lower-case hexadecimal takes half its length."""
+    try:
+        raw = bytes.fromhex(s)
+        if raw.hex() == s:
+            return b"\1" + raw
+    except ValueError:
+        pass
+    return b"\0" + s.encode()
+
+
+def unpacked_id(c: Column) -> Column:
+    rest = F.substring(c, 2, 1 << 30)
+    return F.when(F.substring(c, 1, 1) == F.lit(b"\1"), F.lower(F.hex(rest))).otherwise(F.decode(rest, "utf-8"))
 
 
 BASE, QUERY, BOTH = 1, 2, 3
@@ -206,7 +241,7 @@ def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, bl
         if blocks is None:
             yield pa.RecordBatch.from_arrays(head, ["grp", "cell", "bblock", "qblock", "role"])
         else:
-            yield pa.RecordBatch.from_arrays([*head, take(1), _binary(x[p])], ["grp", "cell", "bblock", "qblock", "role", "id", "vec"])
+            yield pa.RecordBatch.from_arrays([*head, take(1), pa.array(np.array(pack_vectors(x), dtype=object)[p], pa.binary())], ["grp", "cell", "bblock", "qblock", "role", "id", "vec"])
 
 
 # --- search within a block ---------------------------------------------------------------
@@ -249,7 +284,7 @@ def search_block(q: np.ndarray, q_id: np.ndarray, b: np.ndarray, b_id: np.ndarra
 def _searched(t: pa.Table, s: Settings) -> pa.Table:
     role = t["role"].to_numpy()
     ids = np.array(t["id"].to_pylist(), dtype=object)
-    x = np.frombuffer(b"".join(t["vec"].to_pylist()), dtype=np.float32).reshape(-1, s.dim)
+    x = unpack_vectors(t["vec"].to_pylist(), s.dim)
 
     def of(kind: int) -> np.ndarray:
         rows = np.flatnonzero(role & kind)
@@ -262,9 +297,9 @@ def _searched(t: pa.Table, s: Settings) -> pa.Table:
     else:
         r, c, cos = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     end = np.searchsorted(r, np.arange(len(qi) + 1)).astype(np.int32)
-    found = pa.StructArray.from_arrays([pa.array(-cos), pa.array(ids[bi][c], pa.string())], ["neg", "id"])
+    found = pa.StructArray.from_arrays([pa.array(-cos), pa.array([pack_id(i) for i in ids[bi]], pa.binary()).take(pa.array(c))], ["neg", "id"])
     return pa.table({
-        "grp": pa.array([t["grp"][0].as_py()] * len(qi), pa.string()), "id": pa.array(ids[qi], pa.string()),
+        "grp": pa.array([t["grp"][0].as_py()] * len(qi), pa.string()), "id": pa.array([pack_id(i) for i in ids[qi]], pa.binary()),
         "found": pa.ListArray.from_arrays(pa.array(end), found),
     })
 
@@ -306,7 +341,7 @@ def _waves(models: dict[str, np.ndarray]) -> list[dict[str, np.ndarray]]:
 
 
 def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settings | None = None) -> DataFrame:
-    """(grp, id, rank, neighbour, cosine): the k most similar others of every usable vector within its group.
+    """(grp, id, rank, neighbour, cosine), identifiers packed (see ``neighbour_rows``): the k most similar others of every usable vector within its group.
 
     Vectors that are null, of another length, not finite, with a null entry or all zero take no
     part; neither do rows with a null id. An id stored more than once counts once. Equal
@@ -329,15 +364,21 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
             return _routed(batches, sent.value, others, blocks, s)
 
         routed = part.mapInArrow(route, head + ", id string, vec binary")
-        hits = routed.groupBy("grp", "cell", "bblock", "qblock").applyInArrow(lambda t: _searched(t, s), "grp string, id string, found array<struct<neg: double, id: string>>")
+        hits = routed.groupBy("grp", "cell", "bblock", "qblock").applyInArrow(lambda t: _searched(t, s), "grp string, id binary, found array<struct<neg: double, id: binary>>")
         found = hits if found is None else found.unionByName(hits)
-    best = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, s.k)  # as many lists as blocks visited
-    top = found.groupBy("grp", "id").agg(best.alias("found"))
+    # as many lists as blocks visited; sorted by cosine, then by the id itself
+    named = F.transform(F.flatten("found"), lambda f: F.struct(f["neg"].alias("neg"), unpacked_id(f["id"]).alias("name"), f["id"].alias("id")))
+    top = found.groupBy("grp", "id").agg(F.collect_list("found").alias("found")).select("grp", "id", F.slice(F.array_sort(named), 1, s.k).alias("found"))
     return top.select("grp", "id", F.posexplode("found").alias("rank", "_f")).select(
         "grp", "id", (F.col("rank") + 1).alias("rank"), F.col("_f.id").alias("neighbour"), (-F.col("_f.neg")).alias("cosine")
     )
 
 
+def neighbour_rows(near: DataFrame) -> DataFrame:
+    """The rows of ``nearest`` with identifiers as given."""
+    return near.withColumns({"id": unpacked_id(F.col("id")), "neighbour": unpacked_id(F.col("neighbour"))})
+
+
 def _blocks(part: DataFrame, sent, others: frozenset, head: str, s: Settings) -> dict:
     """Cells that came out larger than a block: group -> cell -> (base blocks, query blocks)."""
     large = part.where(F.col("grp").isin(list(sent.value)))
@@ -353,5 +394,6 @@ def _blocks(part: DataFrame, sent, others: frozenset, head: str, s: Settings) ->
 
 def neighbour_pairs(near: DataFrame) -> DataFrame:
     """(vector_id_a, vector_id_b), a < b, each pair once: one is among the other's most similar."""
-    pair = near.select(F.least("id", "neighbour").alias("vector_id_a"), F.greatest("id", "neighbour").alias("vector_id_b"))
-    return pair.distinct()
+    pair = near.select(F.least("id", "neighbour").alias("_a"), F.greatest("id", "neighbour").alias("_b")).distinct()
+    a, b = unpacked_id(F.col("_a")), unpacked_id(F.col("_b"))
+    return pair.select(F.least(a, b).alias("vector_id_a"), F.greatest(a, b).alias("vector_id_b"))
