@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import garble, neighbours, split
+from tidemill.llm import garble, leak, neighbours, pack, split
 from tidemill.sources.tables import table
 
 
@@ -35,7 +35,29 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _near(spark, sf_dir)
+    return neighbours.neighbour_rows(_near(spark, sf_dir)).withColumnRenamed("grp", "tenant_id")
+
+
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+def p6_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.utilisation(p6_containers(spark, sf_dir))
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", "passage")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked items: the documents that hold each and the largest share held."""
+    found = _leaks(spark, sf_dir)
+    return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max("share").alias("share"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +72,10 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_neighbours, p8_found, p8_restored)}
+    return {
+        f.__name__: f
+        for f in (p1_found, p1_pieces, p2_found, p2_neighbours, p6_containers, p6_utilisation, p7_found, p7_items, p8_found, p8_restored)
+    }
 
 
 _P2 = """
