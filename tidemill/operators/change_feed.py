@@ -11,13 +11,12 @@ the map side before anything is shuffled."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.sources import shared_fs
+from tidemill.sources.bucket_store import BucketStore
 
 #: What a connector writes for a large value that did not change, plain and in base64.
 UNAVAILABLE = ("__debezium_unavailable_value", "X19kZWJleml1bV91bmF2YWlsYWJsZV92YWx1ZQ==")
@@ -93,101 +92,23 @@ def current_rows(state: DataFrame, fields: Sequence[str]) -> DataFrame:
     return s.where(F.col("_last.op") != "d").select(*KEY, *[since(f).alias(f) for f in fields], F.col("_last.ts_ms").alias("ts_ms"))
 
 
-class BucketedState:
-    """The stored state: bucket files and versioned manifests under one path.
-
-    manifests/<version>.json lists the files of every bucket. A version is committed by
-    creating the next manifest, which fails if another writer was first; files of a failed
-    writer are in no manifest and so are never read. Readers of older versions keep their
-    files until ``expire``. An empty batch commits nothing."""
+class BucketedState(BucketStore):
+    """Stored summaries of a feed: every batch merged takes the greater of every part."""
 
     def __init__(self, spark: SparkSession, path: str, fields: Sequence[str], buckets: int = 16):
-        self.spark, self.path, self.fields = spark, path.rstrip("/"), list(fields)
-        m = self.manifest()
-        if m and m["fields"] != self.fields:
-            raise ValueError(f"{path} holds the fields {m['fields']}, not {self.fields}")
-        self.buckets = m["buckets"] if m else buckets  # the layout is fixed when the store is made
-
-    def versions(self) -> list[int]:
-        return [int(n[:-5]) for n in shared_fs.names(self.spark, f"{self.path}/manifests") if n.endswith(".json")]
-
-    def manifest(self, version: int | None = None) -> dict | None:
-        v = self.versions()
-        if not v:
-            return None
-        return json.loads(shared_fs.read_text(self.spark, f"{self.path}/manifests/{version or v[-1]:012d}.json"))
-
-    def _schema(self) -> str:
+        self.fields = list(fields)
         place = "at: bigint, off: bigint, part: int"
         parts = ["source_table string", "id bigint", "no_lsn boolean"]
         for o in (BY_LSN, BY_CLOCK):
             parts += [f"last_{o} struct<{place}, op: string, ts_ms: bigint>", f"gone_{o} struct<{place}>"]
             parts += [f"{f}_{o} struct<{place}, phase: int, value: string>" for f in self.fields]
-        return ", ".join(parts)
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int")
+        super().__init__(spark, path, KEY, ", ".join(parts), buckets)
 
-    def _read(self, files: list[str]) -> DataFrame:
-        if not files:
-            return self.spark.createDataFrame([], self._schema())
-        return self.spark.read.schema(self._schema()).parquet(*[f"{self.path}/{f}" for f in files])
+    def reduced(self, changes: DataFrame) -> DataFrame:
+        return summarise(changes, self.fields)
 
-    def state(self, version: int | None = None) -> DataFrame:
-        m = self.manifest(version)
-        return self._read([f for fs in m["files"].values() for f in fs] if m else [])
+    def newer(self, column: str, base: Column, delta: Column, base_row: Column, delta_row: Column) -> Column:
+        return F.greatest(base, delta)
 
     def current(self, version: int | None = None) -> DataFrame:
-        return current_rows(self.state(version), self.fields)
-
-    def apply(self, changes: DataFrame) -> int:
-        """Merge parsed changes; returns the version that holds them."""
-        old = self.manifest() or {"version": 0, "files": {}}
-        version, part = old["version"] + 1, f"data/{old['version'] + 1:012d}-{self.spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-        delta = summarise(changes, self.fields)
-        if old["files"]:
-            # the feed is reduced first; its summaries are kept for the two uses that follow
-            stage = f"{self.path}/{part}.delta"
-            delta.write.parquet(stage)
-            delta = self.spark.read.schema(self._schema()).parquet(stage)
-            touched = [str(r[0]) for r in delta.select(self._bucket()).distinct().collect()]  # at most ``buckets`` numbers
-            base = self._read([f for b in touched for f in old["files"].get(b, [])])
-            delta = self._merged(base, delta)
-        # one file per bucket, the bucket's number being its task's
-        out = delta.withColumn("bucket", self._bucket()).repartitionById(self.buckets, F.col("bucket"))
-        out.sortWithinPartitions(*KEY).write.partitionBy("bucket").parquet(f"{self.path}/{part}")
-        if old["files"]:
-            shared_fs.delete(self.spark, stage)
-        files = dict(old["files"])
-        for d in shared_fs.names(self.spark, f"{self.path}/{part}"):
-            if d.startswith("bucket="):
-                inside = shared_fs.names(self.spark, f"{self.path}/{part}/{d}")
-                files[d[7:]] = [f"{part}/{d}/{n}" for n in inside if n.endswith(".parquet")]
-        if files == old["files"]:
-            return old["version"]
-        m = {"version": version, "buckets": self.buckets, "fields": self.fields, "files": files}
-        if not shared_fs.write_new(self.spark, f"{self.path}/manifests/{version:012d}.json", json.dumps(m)):
-            raise RuntimeError(f"version {version} of {self.path} was committed by another writer; apply the batch again")
-        return version
-
-    def _merged(self, base: DataFrame, delta: DataFrame) -> DataFrame:
-        """Sort-merge of the touched buckets: the greater of every part."""
-        b, d = base.alias("b"), delta.alias("d").hint("merge")
-        on = (F.col("b.source_table") == F.col("d.source_table")) & (F.col("b.id") == F.col("d.id"))
-        rest = [c for c in base.columns if c not in KEY]
-        return b.join(d, on, "full_outer").select(
-            *[F.coalesce(F.col(f"b.{k}"), F.col(f"d.{k}")).alias(k) for k in KEY],
-            *[F.greatest(F.col(f"b.{c}"), F.col(f"d.{c}")).alias(c) for c in rest],
-        )
-
-    def expire(self, keep: int = 5) -> int:
-        """Drop all but the last ``keep`` versions, and the data only they used."""
-        v = self.versions()
-        old, new = v[:-keep], v[-keep:]
-        used = {f.split("/")[1] for x in new for fs in self.manifest(x)["files"].values() for f in fs}
-        for x in old:
-            shared_fs.delete(self.spark, f"{self.path}/manifests/{x:012d}.json")
-        for n in shared_fs.names(self.spark, f"{self.path}/data"):
-            if old and n not in used and int(n[:12]) <= new[0]:
-                shared_fs.delete(self.spark, f"{self.path}/data/{n}")
-        return len(old)
+        return current_rows(self.rows(version), self.fields)
