@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.plans import problems
+from tidemill.plans import cdc, problems
 
-MODULES = (problems,)
+MODULES = (problems, cdc)
 
 
 def queries() -> dict:
