@@ -35,11 +35,11 @@ class Settings:
     stretch_wide: int = 10
     penalty: float = 1.0
 
-    @staticmethod
-    def least_hits(passage: int) -> int:
-        """Fewest common seeds. Half a passage with two words of five changed is expected to
-        keep 0.14 seeds a token over all masks; a quarter of that is asked for."""
-        return max(2, int(0.035 * passage))
+#: Fewest common seeds per token of a passage, and the least share of it that they touch. If two words
+#: of five are changed in half a passage, 0.126 seeds a token are expected to be left over all masks,
+#: and they touch more than a third of it; with one word of three it is 0.26. Random pairs have 0.04.
+SEEDS_PER_TOKEN, TOUCHED = 0.07, 0.2
+_CELL = 6
 
 
 _MARKUP = re.compile(r"<[/!]?[a-zA-Z][^<>]{0,200}>|&(?:#\d{1,7}|#x[0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});|[\u00ad\u200b-\u200f\u2060\ufeff*_`~]")
@@ -107,6 +107,7 @@ class Index:
             self.items.append(item)
             self.code.append(np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in t], dtype=np.int32))
             self.wide.append(sum(len(x) == 1 and x >= "\u2e80" for x in t) > len(t) / 2)
+        self.length = np.array([len(c) for c in self.code], dtype=np.int64)
         self.seeds = []
         per = [seed_hashes(c) for c in self.code]
         for m in range(len(MASKS)):
@@ -197,12 +198,15 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, s: Settings) -> Itera
         doc = np.searchsorted(starts, hits[:, 2], "right") - 1
         order = np.lexsort((hits[:, 0], doc))
         hits, doc = hits[order], doc[order]
-        edge = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(hits[:, 0]) != 0)]) if len(doc) else np.zeros(0, int)
+        new = np.r_[True, (np.diff(doc) != 0) | (np.diff(hits[:, 0]) != 0)] if len(doc) else np.zeros(0, bool)
+        edge = np.flatnonzero(new)
+        end = np.r_[edge[1:], len(doc)]
+        cells = np.unique((np.cumsum(new) - 1) << 32 | hits[:, 1] // _CELL) >> 32
+        length = index.length[hits[edge, 0]]
+        near = (end - edge >= np.maximum(2, SEEDS_PER_TOKEN * length)) & (np.bincount(cells, minlength=len(edge)) * _CELL >= TOUCHED * length)
         rows, items, shares = [], [], []
-        for a, b in zip(edge, np.r_[edge[1:], len(doc)]):
+        for a, b in zip(edge[near].tolist(), end[near].tolist()):
             k, i = doc[a], hits[a, 0]
-            if b - a < s.least_hits(len(index.code[i])):
-                continue
             least = s.stretch_wide if index.wide[i] else s.stretch
             pairs = np.stack([hits[a:b, 1], hits[a:b, 2] - starts[k]], axis=1)
             share = held(index.code[i], coded[2 * k], pairs, least, s.penalty)
