@@ -39,8 +39,8 @@ def _encoding(vocabulary: str):
 def cut_to_capacity(text: str | None, capacity: int, vocabulary: str = VOCABULARY) -> list[tuple[int, int, int]]:
     """(begin, end, tokens) of the pieces of a text: one, unless it exceeds the capacity.
 
-    Cuts stand between tokens that are between characters; every piece but the last is as long
-    as the capacity allows when it is tokenized by itself. An empty text is one piece of no
+    Cuts stand between tokens that are between characters, before a word where one begins within
+    eight tokens of the last possible place; tokens is the size of the piece tokenized by itself. An empty text is one piece of no
     tokens, null has none."""
     if text is None:
         return []
@@ -48,21 +48,33 @@ def cut_to_capacity(text: str | None, capacity: int, vocabulary: str = VOCABULAR
     t = enc.encode_ordinary(text)
     if len(t) <= capacity:
         return [(0, len(text), len(t))]
-    out, begin, at = [], 0, 0
+    out, begin, at, begin_inside = [], 0, 0, False
     while at < len(t):
-        n = min(capacity, len(t) - at)
+        n, size = min(capacity, len(t) - at), 0
+        if at + n < len(t):  # cut before a word if one begins close by: its tokens stay what they are
+            n, size = next(((m, m) for m in range(n, max(n - 8, 0), -1) if _begins_word(enc, t, at + m)), (n, 0))
         while True:
-            piece = enc.decode_bytes(t[at : at + n]).decode("utf-8", "ignore")
-            whole = len(piece.encode()) == sum(len(enc.decode_single_token_bytes(x)) for x in t[at : at + n])
-            size = len(enc.encode_ordinary(piece)) if whole else capacity + 1
-            if whole and size <= capacity:
-                break
-            n -= 1
+            try:
+                piece = enc.decode_bytes(t[at : at + n]).decode()
+                size = size if size and not begin_inside else n if at + n == len(t) and not begin_inside else len(enc.encode_ordinary(piece))
+                if size <= capacity:
+                    break
+            except UnicodeDecodeError:  # within a character
+                pass
+            n, size = n - 1, 0
         out.append((begin, begin + len(piece), size))
         begin, at = begin + len(piece), at + n
+        begin_inside = at < len(t) and not _begins_word(enc, t, at)
     return out
 
 
+def _begins_word(enc, t: list[int], i: int) -> bool:
+    """Whether token i is a space and a letter after something else than white space, so that the
+    tokenizer parts the text there."""
+    a = enc.decode_single_token_bytes(t[i])
+    return len(a) > 1 and a[:1] == b" " and a[1:2].isalpha() and not enc.decode_single_token_bytes(t[i - 1])[-1:].isspace()
+
+
 def sizes(df: DataFrame, ident: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """(ident, piece, begin, end, tokens): one row per text, or per piece of one that exceeds the capacity."""
 
