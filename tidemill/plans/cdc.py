@@ -108,7 +108,7 @@ def _lake(spark: SparkSession, name: str) -> LakeTable:
 def cdc_lake_batches(spark, sf_dir):
     """The feed in three batches by arrival, merged one by one: as if in one."""
     feed, t = table(spark, sf_dir, "cdc_to_iceberg"), _lake(spark, "comment")
-    for part in ("received_at < '2025-03-01'", "received_at >= '2025-03-01' AND received_at < '2025-08-01'", "received_at >= '2025-08-01'"):
+    for part in ("received_at < '2025-03-01'", "received_at >= '2025-03-01' AND received_at < '2025-08-01'", "received_at >= '2025-08-01' OR received_at IS NULL"):
         t.apply(envelope.as_messages(feed.where(part)))
     return t.current()
 
@@ -122,7 +122,7 @@ def cdc_lake_replay(spark, sf_dir):
 
 
 def cdc_lake_maintenance(spark, sf_dir):
-    """Versions and rows after several batches, compaction and expiry."""
+    """Versions and rows after three batches that together are the whole feed, compaction and expiry."""
     feed, t = table(spark, sf_dir, "cdc_to_iceberg"), _lake(spark, "article")
     for n in range(3):
         t.apply(envelope.as_messages(feed.where(F.pmod("log_offset", F.lit(3)) == n)))

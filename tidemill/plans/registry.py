@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.plans import cdc, problems
+from tidemill.plans import cdc, index, problems
 
-MODULES = (problems, cdc)
+MODULES = (problems, cdc, index)
 
 
 def queries() -> dict:
