@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ LETTERWISE = tuple(itertools.permutations(("koi8_r", "cp1251", "cp866"), 2)) + (
 PAIRS_RU = "ст но то на ен ов ни ра во ко ал по ро не ли ре ка пр та ел ор го ло ны ос ер от ва де те ла ан ит ол ла ес ри он об ом ск ты ки ат".split()
 _PAIRS_RU = frozenset(PAIRS_RU)
 #: Least evidence for a stretch; see ``_weight``.
-ENOUGH = 2.0
+ENOUGH, STRONG = 2.0, 1.6
 
 
 def _plausible(c: str) -> bool:
@@ -103,15 +104,18 @@ class _Tables:
                     seeds.setdefault(g, set()).add(f"{true}>{read}")
         seeds.setdefault("Ã ", set()).add("cp1252")
         # what natural words are made of is no seed; a span that begins at another one still runs over it
-        seeds = {x: ws for x, ws in seeds.items() if not (len(x) > 1 and x.isalpha() and x[0].islower() and (x[1].islower() or "\u0400" <= x[0] <= "\u04ff" and any(">" in y for y in ws)))}
+        russian = re.compile("[а-яё][а-яёА-ЯЁ]")
+        seeds = {x: ws for x, ws in seeds.items() if not (len(x) > 1 and x.isalpha() and (all(c.islower() for c in x) and not any(">" in y for y in ws) or russian.fullmatch(x)))}
         self.one = {w: {c for c, ws in seeds.items() if w in ws and len(c) == 1} for w in MULTI_BYTE}
         # a quick look at all characters at once: can a seed of some class begin here?
-        kinds = {w: 1 << k for k, w in enumerate(sorted({w for ws in seeds.values() for w in ws}))}
-        self.first, self.second = np.zeros(0x10000, np.uint32), np.zeros(0x10000, np.uint32)
-        for x, ws in seeds.items():
-            bits = sum(kinds[w] for w in ws)
-            self.first[ord(x[0])] |= bits
-            self.second[ord(x[1]) if len(x) > 1 else slice(None)] |= bits if len(x) > 1 else 0
+        kind = lambda x, w: (w, x[0].isascii(), x[1].isascii())
+        two = {x: ws for x, ws in seeds.items() if len(x) > 1}
+        bit = {k: np.uint64(1 << n) for n, k in enumerate(sorted({kind(x, w) for x, ws in two.items() for w in ws}))}
+        self.first, self.second = np.zeros(0x10000, np.uint64), np.zeros(0x10000, np.uint64)
+        for x, ws in two.items():
+            for w in ws:
+                self.first[ord(x[0])] |= bit[kind(x, w)]
+                self.second[ord(x[1])] |= bit[kind(x, w)]
         self.lone = np.zeros(0x10000, bool)
         self.lone[[ord(x) for x in seeds if len(x) == 1] + [0xFFFD]] = True
         self.auto = ahocorasick.Automaton()
@@ -137,6 +141,8 @@ def _weight(text: str, i: int, j: int, c: str) -> float:
     too (letters of one script) counts little, a control character or a symbol inside a word much."""
     kinds = _scripts(text[i:j])
     before, after = text[i - 1 : i], text[j : j + 1]
+    if c.isupper() and before.islower():  # a capital within a word: another encoding may read better
+        return 0.7
     if "C" in kinds:
         return 2.0
     if len(set(kinds)) == 1 and kinds[0] in "LRo":
@@ -176,6 +182,17 @@ def _single(text: str, at: list[int], w: str) -> list[tuple[int, int, str, float
     return _joined(hits)
 
 
+def _whole_lines(text: str, spans: list, w: str) -> list[tuple[int, int, str, float]]:
+    byte, lines = _tables().byte[w], {}
+    for i, _, _, _ in spans:
+        a = text.rfind("\n", 0, i) + 1
+        if a not in lines:
+            b = text.find("\n", i)
+            lines[a] = len(text) if b < 0 else b
+    at = [i for a, b in sorted(lines.items()) for i in range(a, b) if byte.get(text[i], 0) >= 0xC2]
+    return _single(text, at, w)
+
+
 def _joined(hits: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
     """Hits that touch become one span; each touch is evidence too."""
     out: list[list] = []
@@ -219,7 +236,7 @@ def _multi(text: str, at: list[int], w: str) -> list[tuple[int, int, str | None,
                 b -= 1
             e = last = _RUN.match(text, b).end()
             last -= text[e - 1].isascii()
-        for stop in range(e, max(last, b), -1):  # the longest that reads well
+        for stop in range(e, max(last, b), -1) if text[i] in t.one[w] else (last, e):  # the longest that reads well
             if _reads(text[b:stop], w):
                 e = stop
                 break
@@ -237,7 +254,7 @@ def _multi(text: str, at: list[int], w: str) -> list[tuple[int, int, str | None,
         good = raw.decode("utf-8", "ignore")
         multi = [c for c in good if not c.isascii()]
         fair = sum(_plausible(c) for c in multi)
-        used = sum(len(c.encode()) for c in multi if _plausible(c))
+        used = sum(len(c.encode()) for c in good if c.isascii() or _plausible(c))
         wide = sum(len(c.encode()) == 3 and _plausible(c) for c in multi)
         before, after = text[b - 1 : b], text[end : end + 1]
         inside = (before.isascii() and before.isalpha()) + (after.isascii() and after.isalpha())
@@ -268,7 +285,8 @@ def _multi(text: str, at: list[int], w: str) -> list[tuple[int, int, str | None,
 
 
 _LATIN_RUN = re.compile(r"[\xa1-\xff]{6,}")
-_LATIN_WORD = re.compile(r"(?<![\w])[\xc0-\xff\xb8\xa8]{2,}(?![\w])")
+_LATIN_WORD = re.compile(r"(?<!\w)[\xc0-\xff\xb8\xa8\xa3\xb3]+(?!\w)")
+_LINES = re.compile(r"[^\n]+")
 _CYR = re.compile(r"[Ѐ-ӿ]")
 
 
@@ -295,21 +313,24 @@ def _national(text: str) -> list[tuple[int, int, str | None, float]]:
 
 
 def _russian_as_latin(text: str) -> list[tuple[int, int, str | None, float]]:
-    """Russian in a single-byte set read as Latin."""
+    """Russian in a single-byte set read as Latin, line by line."""
     out = []
     for true in ("cp1251", "koi8_r"):
-        hits, seen, pairs = [], 0, 0
-        for m in _LATIN_WORD.finditer(text):
-            s = m.group().encode("latin-1").decode(true, "ignore")
-            if re.fullmatch(r"[А-Яа-яЁё]+", s):
-                hits.append((m.start(), m.end(), s))
-                low = s.lower()
-                seen += len(low) - 1
-                pairs += sum(low[i : i + 2] in _PAIRS_RU for i in range(len(low) - 1))
-        long = sum(b - a >= 4 for a, b, _ in hits)
-        if seen >= 6 and long >= 1 and pairs >= 0.2 * seen:
-            out.append((pairs, [(a, b, s, 2.0 if b - a >= 4 else 1.0) for a, b, s in hits]))
-    return max(out, key=lambda x: x[0])[1] if out else []
+        spans, most = [], 0
+        for line in _LINES.finditer(text):
+            hits, seen, pairs = [], 0, 0
+            for m in _LATIN_WORD.finditer(text, line.start(), line.end()):
+                low = m.group().encode("latin-1").decode(true, "ignore")
+                if re.fullmatch(r"[А-Яа-яЁё]+", low):
+                    hits.append((m.start(), m.end(), low, 2.0 if len(low) >= 4 else 1.0))
+                    low = low.lower()
+                    seen += len(low) - 1
+                    pairs += sum(low[i : i + 2] in _PAIRS_RU for i in range(len(low) - 1))
+            if seen >= 6 and any(b - a >= 4 for a, b, _, _ in hits) and pairs >= 0.2 * seen:
+                spans += hits
+                most += pairs
+        out.append((most, spans))
+    return max(out, key=lambda x: x[0])[1]
 
 
 def _letterwise(text: str, counts: list[tuple[int, tuple]], newlines: list[int]) -> list[tuple[int, int, str | None, float]]:
@@ -367,27 +388,32 @@ def garbled_spans(text: str | None) -> list[tuple[int, int, str | None]]:
                 if ">" not in w:
                     seeds.setdefault(w, []).append(i)
     found: list[tuple[float, list]] = []
+    names: dict[int, str] = defaultdict(str)
     for w, at in seeds.items():
         if w == "gb/latin":
             spans = _national(text)
         else:
             spans = _single(text, at, w) if w in SINGLE_BYTE else _multi(text, sorted(set(at)), w)
         if spans:
+            names[id(spans)] = w
             found.append((sum(s[3] for s in spans), spans))
     found += [(sum(s[3] for s in spans), spans) for spans in (_russian_as_latin(text),) if spans]
     lost = [(m.start(), m.end(), None, 2.0) for m in re.finditer("\ufffd+", text)]
     if lost:  # what no decoding leaves in a text
         found.append((0.0, lost))
     if letters:
-        newlines = [m.start() for m in re.finditer("\n", text)]
+        newlines = [m.start() for m in re.finditer(r"[\n.!?;]", text)]  # judged piece by piece
         spans = _letterwise(text, letters, newlines)
         found += [(sum(s[3] for s in spans), spans)] if spans else []
     out: list[tuple[int, int, str | None]] = []
     for total, spans in sorted(found, key=lambda x: -x[0]):
-        if spans is not lost and (total < ENOUGH or max(s[3] for s in spans) < 1.6 and total < 2 * ENOUGH):
+        if spans is not lost and max(s[3] for s in spans) < STRONG and total < 2 * ENOUGH:
             continue
+        name, least = names[id(spans)], 0.6
+        if name in SINGLE_BYTE:  # the encoding is known: in these lines what natural words have too is read by it
+            spans, least = _whole_lines(text, [x for x in spans if x[3] >= 0.6], name), 0.2
         for i, j, s, w in spans:
-            if w >= 0.6 and all(j <= a or i >= b for a, b, _ in out):
+            if w >= least and all(j <= a or i >= b for a, b, _ in out):
                 out.append((i, j, s))
     return sorted(out)
 
