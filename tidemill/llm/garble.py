@@ -295,6 +295,9 @@ def _national(text: str) -> list[tuple[int, int, str | None, float]]:
     out = []
     for m in _LATIN_RUN.finditer(text):
         raw = m.group().encode("latin-1")
+        kept = raw.decode("utf-8", "ignore")
+        if sum(len(c.encode()) for c in kept if _plausible(c)) >= 0.8 * len(raw):
+            continue  # UTF-8 read as Latin, whose bytes the national set has too
         for cut in (0, 1):
             try:
                 s = raw[cut : len(raw) - (len(raw) - cut) % 2].decode("gb2312")
@@ -304,8 +307,9 @@ def _national(text: str) -> list[tuple[int, int, str | None, float]]:
             if len(s) >= 3 and usual >= 0.8 * len(s):
                 out.append((m.start() + cut, m.start() + cut + 2 * len(s), s, 3.0 * len(s)))  # rather than a chance reading as UTF-8
                 break
-    for m in re.finditer(r"[\xa1-\xff]{2,5}", text) if out else ():  # short runs, where there are long ones
-        if len(m.group()) % 2 == 0 and all(a >= m.end() or b <= m.start() for a, b, _, _ in out):
+    lines = {text.rfind("\n", 0, i) for i, _, _, _ in out}
+    for m in re.finditer(r"[\xa1-\xff]{2,5}", text) if out else ():  # short runs, in lines with long ones
+        if len(m.group()) % 2 == 0 and text.rfind("\n", 0, m.start()) in lines and all(a >= m.end() or b <= m.start() for a, b, _, _ in out):
             s = m.group().encode("latin-1").decode("gb2312", "ignore")
             if len(s) * 2 == len(m.group()) and all(_usual(c) or c in "，。：；？！、（）“”《》" for c in s):
                 out.append((m.start(), m.end(), s, 1.0))

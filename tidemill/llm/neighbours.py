@@ -155,7 +155,8 @@ def pack_vectors(x: np.ndarray) -> list[bytes]:
     import zstandard
 
     zip1 = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
-    half = x.astype(np.float16)
+    with np.errstate(over="ignore"):
+        half = x.astype(np.float16)
     exact = (half.astype(np.float32) == x).all(1)
     out = []
     for small, h, f in zip(exact, half, x):
