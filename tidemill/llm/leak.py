@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 
 #: Token positions that count in a window: spaced seeds of weight 6.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9), (0, 3, 4, 7, 9, 10), (0, 2, 5, 6, 9, 11))
-#: Passages sent to every executor at once; more are handled in further passes over the corpus.
-BLOCK_ITEMS = 20_000
+#: Most passages, and characters of passages, that are sent to every executor at once; more are
+#: handled in further passes over the corpus. A single longer passage is a block of its own.
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 8_000_000
 
 
 @dataclass(frozen=True)
@@ -215,6 +216,20 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, s: Settings) -> Itera
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(shares, pa.float64())], ["id", "item", "share"])
 
 
+def _blocks(items: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """Blocks of bounded size; one empty block if there are no items."""
+    block: list[tuple[int, str]] = []
+    size, any_yet = 0, False
+    for item in items:
+        if block and (len(block) >= BLOCK_ITEMS or size + len(item[1]) > BLOCK_CHARS):
+            yield block
+            block, size, any_yet = [], 0, True
+        block.append(item)
+        size += len(item[1])
+    if block or not any_yet:
+        yield block
+
+
 def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str, settings: Settings | None = None) -> DataFrame:
     """(doc_id, item_id, share): documents that hold at least ``least`` of an item's passage.
 
@@ -226,9 +241,9 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     s = settings or Settings()
     spark, out = docs.sparkSession, None
     sel = docs.select(docs[doc_id].cast("bigint").alias(doc_id), text)
-    known = [(r[0], r[1]) for r in items.select(item_id, passage).where(items[passage].isNotNull()).distinct().orderBy(item_id, passage).toLocalIterator()]
-    for k in range(0, max(1, len(known)), BLOCK_ITEMS):
-        sent = spark.sparkContext.broadcast(Index(known[k : k + BLOCK_ITEMS]))
+    known = items.select(item_id, passage).where(items[passage].isNotNull()).distinct().orderBy(item_id, passage)
+    for block in _blocks((r[0], r[1]) for r in known.toLocalIterator()):
+        sent = spark.sparkContext.broadcast(Index(block))
         part = sel.mapInArrow(lambda it, sent=sent: _scan(it, sent.value, s), f"{doc_id} bigint, {item_id} bigint, share double")
         out = part if out is None else out.unionByName(part)
     return out
