@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space in the sense of Unicode, as a character class of Java's patterns.
-SPACE = r"[\s\x{85}\x{1c}-\x{1f}\p{Z}]"
+_SET = r"\s\x{85}\x{1c}-\x{1f}\p{Z}"
+SPACE = f"[{_SET}]"
 MAX_DOC_CHARS = 200_000
 #: Citation marks such as [1] or [1, 2], and the ends of sentences.
 CITATION = r"\[(\d+(?:\s*,\s*\d+)*)\]"
@@ -15,12 +16,13 @@ SENTENCE_END = r"(?<=[。！？!?.])\s*"
 
 def strip(c: Column) -> Column:
     """Without outer Unicode white space."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    # from the right only at the beginning of a run, so that padded texts cost no more than others
+    return F.regexp_replace(c, rf"^{SPACE}+|(?<!{SPACE}){SPACE}+$", "")
 
 
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    return ~F.coalesce(c.rlike(f"[^{_SET}]"), F.lit(False))
 
 
 def document_text(*fields: Column) -> Column:
@@ -42,11 +44,14 @@ def windows(c: Column, size: int = 400, overlap: int = 50) -> Column:
     The last window is the first that reaches the end."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be less than size")
-    t, step = strip(c), size - overlap
-    n = F.length(t)
-    last = F.greatest(F.ceil((n - size) / step).cast("int"), F.lit(0))
-    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(t, i * step + 1, F.lit(size)))
-    return F.when(n == 0, F.array().cast("array<string>")).when(n > 0, cut)
+    step = size - overlap
+
+    def cut(t: Column) -> Column:
+        last = F.greatest(F.ceil((F.length(t) - size) / step).cast("int"), F.lit(0))
+        return F.when(F.length(t) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(t, i * step + 1, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+    # the text is stripped once: within the lambda it is a variable
+    return F.when(c.isNotNull(), F.transform(F.array(strip(c)), cut)[0])
 
 
 def citations(c: Column) -> Column:

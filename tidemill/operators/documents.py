@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import ids, text
@@ -21,18 +21,24 @@ def source_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def child_texts(children: DataFrame, fk: str, body: str, order: str = "id") -> DataFrame:
+def child_texts(children: DataFrame, fk: str, body: str, order: str = "id", limit: int = text.MAX_DOC_CHARS, salts: int = 16) -> DataFrame:
     """(tenant_id, source_pk, extra, n): the non-empty child texts of each parent, in order, joined by line ends.
 
-    The texts of one parent make one string, so a parent's children must fit in a row as they
-    must in its document."""
-    one = F.when(F.col(body) != "", F.struct(F.col(order).alias("o"), F.col(body).alias("t")))
-    parts = F.array_sort(F.collect_list(one))
+    Since a document is cut to ``limit`` characters, of a parent's texts only those in order are
+    taken that begin within the limit. A parent with very many children is first cut down within
+    each of ``salts`` shares of them, so that no task gets all; what is collected per parent is
+    bounded by the limit and one text."""
+    pk = F.col(fk).cast("string").alias("source_pk")
+    kids = children.where(F.col(fk).isNotNull() & (F.col(body) != "")).select("tenant_id", pk, F.col(order).alias("_o"), F.col(body).alias("_t"))
+    kids = kids.withColumns({"_n": F.length("_t") + 1, "_salt": F.pmod(F.xxhash64("_o", "_t"), F.lit(salts))})
+    for keys in (["tenant_id", "source_pk", "_salt"], ["tenant_id", "source_pk"]):
+        before = Window.partitionBy(*keys).orderBy("_o", "_t").rowsBetween(Window.unboundedPreceding, -1)
+        kids = kids.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < limit)
+    parts = F.array_sort(F.collect_list(F.struct("_o", "_t")))
     return (
-        children.where(F.col(fk).isNotNull())
-        .groupBy("tenant_id", F.col(fk).cast("string").alias("source_pk"))
+        kids.groupBy("tenant_id", "source_pk")
         .agg(parts.alias("_p"))
-        .select("tenant_id", "source_pk", F.array_join(F.transform("_p", lambda x: x["t"]), "\n").alias("extra"), F.size("_p").alias("n"))
+        .select("tenant_id", "source_pk", F.array_join(F.transform("_p", lambda x: x["_t"]), "\n").alias("extra"), F.size("_p").alias("n"))
     )
 
 
