@@ -63,6 +63,19 @@ def test_large_cells_are_split_into_blocks(spark):
     assert got["v0500"] == ["v0000", "v0001", "v0002", "v0003"]
 
 
+def test_null_group_and_waves(spark, monkeypatch):
+    monkeypatch.setattr(nb, "MODEL_BYTES", 3 * 17 * 4)
+    a, b = data(400, 16, 7), data(300, 16, 8)
+    rows = [(g, i, [float(z) for z in v]) for g, d in ((None, a), ("u", b)) for i, v in d.items()] + [("small", "s1", [1.0] * 16), ("small", "s2", [2.0] * 16)]
+    df = spark.createDataFrame(rows, "tenant string, vid string, e array<float>")
+    got = {}
+    for r in nb.neighbour_rows(nb.nearest(df, "tenant", "vid", "e", nb.Settings(dim=16, k=3, cell_rows=140, probes=9, sample_rows=250))).orderBy("rank").collect():
+        got.setdefault((r.grp, r.id), []).append(r.neighbour)
+    assert {k[1]: v for k, v in got.items() if k[0] is None} == brute(a, 3)
+    assert {k[1]: v for k, v in got.items() if k[0] == "u"} == brute(b, 3)
+    assert got["small", "s1"] == ["s2"]
+
+
 def test_balanced_parts():
     x = nb.unit(np.stack(list(data(1000, 16, 3).values())))
     g = nb.neighbour_graph(x, 10)

@@ -8,6 +8,7 @@ part. Cells that come out large are split into blocks, which all their queries v
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -204,11 +205,26 @@ def _probes(x: np.ndarray, model: np.ndarray | None, probes: int) -> np.ndarray:
 
 
 def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, blocks: dict | None, s: Settings) -> Iterator[pa.RecordBatch]:
-    """Rows (grp, cell, block, part, role[, id, vec]); without ``blocks`` only what counting needs."""
+    """Rows (grp, cell, blocks, role[, id, vec]); without ``blocks`` only what counting needs.
+
+    Of the equal vectors that this task has seen only the k + 1 with the smallest ids so far
+    become base rows: with equal similarity, later ones are nobody's neighbours."""
+    import xxhash
+
+    seen: dict[bytes, list[str]] = {}
     for b in batches:
         rows, x = _vectors(b.column(2), s.dim)
         groups = np.array(b.column(0).take(pa.array(rows)).to_pylist(), dtype=object)
         ids = np.array(b.column(1).take(pa.array(rows)).to_pylist(), dtype=object)
+        base = np.ones(len(rows), bool)
+        for i, (g, name, v) in enumerate(zip(groups, ids, x)):
+            least = seen.setdefault(xxhash.xxh3_128_digest(v.tobytes() + str(g).encode()), [])
+            if name not in least:
+                if len(least) > s.k and name > least[-1]:
+                    base[i] = False
+                else:
+                    bisect.insort(least, name)
+                    del least[s.k + 1 :]
         pos, cell, bb, qb, role = [], [], [], [], []
         codes: dict = {}
         for i, g in enumerate(groups):
@@ -222,7 +238,7 @@ def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, bl
             for j in range(to.shape[1]):
                 cut = np.isin(to[:, j], list(split)) if split else np.zeros(len(at), bool)
                 n = int((~cut).sum())
-                pos.append(at[~cut]), cell.append(to[~cut, j]), role.append(np.full(n, BOTH if j == 0 else QUERY))
+                pos.append(at[~cut]), cell.append(to[~cut, j]), role.append(np.where(base[at[~cut]] & (j == 0), BOTH, QUERY))
                 bb.append(np.zeros(n, int)), qb.append(np.zeros(n, int))
                 if cut.any():
                     names = ids[at[cut]].tolist()
@@ -230,7 +246,7 @@ def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, bl
                     for i, c, h1, h2 in zip(at[cut], to[cut, j], hb, hq):
                         nb, nq = split[int(c)]
                         own, mine = int(h1 % np.uint64(nb)), int(h2 % np.uint64(nq))
-                        if j == 0:
+                        if j == 0 and base[i]:
                             pos.append([i] * nq), cell.append([c] * nq), bb.append([own] * nq), qb.append(range(nq)), role.append([BASE] * nq)
                         pos.append([i] * nb), cell.append([c] * nb), bb.append(range(nb)), qb.append([mine] * nb), role.append([QUERY] * nb)
         if not pos:
@@ -248,25 +264,21 @@ def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, bl
 # --- search within a block ---------------------------------------------------------------
 
 
-def search_block(q: np.ndarray, q_id: np.ndarray, b: np.ndarray, b_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, base row, cosine) of the k most similar base rows of every query, itself left
-    out. A float32 product finds the candidates; all that could be among the k are ranked by the
-    exact cosine, rounded to 12 digits, equal ones by id."""
+def search_block(q: np.ndarray, b: np.ndarray, b_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, base row, cosine) of the k most similar base rows of every query. A float32
+    product finds the candidates; all that could be among the k are ranked by the exact cosine,
+    rounded to 12 digits, equal ones by id."""
     order = np.argsort(b_id, kind="stable")
-    b, b_id = b[order], b_id[order]
+    b = b[order]
     qn, bn = unit(q), unit(b)
     b64 = b.astype(np.float64)
     bl = np.sqrt((b64 * b64).sum(1))
-    at = {i: n for n, i in enumerate(b_id.tolist())}
     out: list[tuple] = []
     for i in range(0, len(q), 1024):
         s = qn[i : i + 1024] @ bn.T
-        for r, name in enumerate(q_id[i : i + 1024].tolist()):
-            if name in at:
-                s[r, at[name]] = -np.inf
         kk = min(k, s.shape[1])
         least = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
-        r, c = np.nonzero((s >= (least - 1e-5)[:, None]) & (s > -np.inf))
+        r, c = np.nonzero(s >= (least - 1e-5)[:, None])
         q64 = q[i : i + 1024].astype(np.float64)
         ql = np.sqrt((q64 * q64).sum(1))
         cos = np.empty(len(r))
@@ -276,29 +288,44 @@ def search_block(q: np.ndarray, q_id: np.ndarray, b: np.ndarray, b_id: np.ndarra
         cos = np.round(cos, 12)
         o = np.lexsort((c, -cos, r))  # base rows stand in the order of their ids
         r, c, cos = r[o], c[o], cos[o]
-        first = np.searchsorted(r, r)
-        top = np.arange(len(r)) - first < k
+        top = np.arange(len(r)) - np.searchsorted(r, r) < k
         out.append((r[top] + i, order[c[top]], cos[top]))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _searched(t: pa.Table, s: Settings) -> pa.Table:
+    """Neighbours, within one block, of its queries. Equal vectors are searched for once, and of
+    equal base vectors only the k + 1 with the smallest ids can be anyone's neighbours."""
     role = t["role"].to_numpy()
     ids = np.array(t["id"].to_pylist(), dtype=object)
-    x = unpack_vectors(t["vec"].to_pylist(), s.dim)
+    packed = t["vec"].to_pylist()
+    number: dict[bytes, int] = {}
+    code = np.array([number.setdefault(v, len(number)) for v in packed])
+    x = unpack_vectors(list(number), s.dim)
 
     def of(kind: int) -> np.ndarray:
         rows = np.flatnonzero(role & kind)
-        _, first = np.unique(ids[rows].astype(str), return_index=True)
-        return rows[first]
+        return rows[np.unique(ids[rows].astype(str), return_index=True)[1]]  # in the order of ids
 
     qi, bi = of(QUERY), of(BASE)
-    if len(bi) and len(qi):
-        r, c, cos = search_block(x[qi], ids[qi], x[bi], ids[bi], s.k)
+    if not len(bi) or not len(qi):
+        end, who, cos = np.zeros(len(qi) + 1, np.int32), np.zeros(0, int), np.zeros(0)
     else:
-        r, c, cos = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    end = np.searchsorted(r, np.arange(len(qi) + 1)).astype(np.int32)
-    found = pa.StructArray.from_arrays([pa.array(-cos), pa.array([pack_id(i) for i in ids[bi]], pa.binary()).take(pa.array(c))], ["neg", "id"])
+        bi = bi[np.argsort(code[bi], kind="stable")]
+        bi = bi[np.arange(len(bi)) - np.searchsorted(code[bi], code[bi]) <= s.k]
+        uq, back = np.unique(code[qi], return_inverse=True)
+        r, c, cos = search_block(x[uq], x[code[bi]], ids[bi].astype(str), s.k + 1)
+        first, last = np.searchsorted(r, back), np.searchsorted(r, back, "right")
+        n = last - first
+        who = np.repeat(np.arange(len(qi)), n)
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        other = ids[qi][who] != ids[bi][c[at]]  # itself left out
+        who, at = who[other], at[other]
+        near = np.arange(len(who)) - np.searchsorted(who, who) < s.k
+        who, at = who[near], at[near]
+        end = np.searchsorted(who, np.arange(len(qi) + 1)).astype(np.int32)
+        who, cos = c[at], cos[at]
+    found = pa.StructArray.from_arrays([pa.array(-cos), pa.array([pack_id(i) for i in ids[bi]], pa.binary()).take(pa.array(who, pa.int64()))], ["neg", "id"])
     return pa.table({
         "grp": pa.array([t["grp"][0].as_py()] * len(qi), pa.string()), "id": pa.array([pack_id(i) for i in ids[qi]], pa.binary()),
         "found": pa.ListArray.from_arrays(pa.array(end), found),
@@ -308,13 +335,13 @@ def _searched(t: pa.Table, s: Settings) -> pa.Table:
 # --- the operator ------------------------------------------------------------------------
 
 
-def _fit_models(rows: DataFrame, sizes: dict[str, int], s: Settings) -> dict[str, np.ndarray]:
-    big = {g: n for g, n in sizes.items() if n > s.cell_rows}
+def _fit_models(rows: DataFrame, big: dict[str, int], s: Settings) -> dict[str, np.ndarray]:
+    """Routers of the groups of one wave, fitted group by group on the executors."""
     if not big:
         return {}
     spark = rows.sparkSession
     share = spark.createDataFrame([(g, n, int(min(1.0, s.sample_rows / n) * 2**20)) for g, n in big.items()], "grp string, n bigint, part int")
-    # one row per large group: as many as there are models, which are bounded below
+    # a row per group of the wave, whose number MODEL_BYTES bounds
     sample = rows.join(F.broadcast(share), "grp").where(F.pmod(F.xxhash64("id"), F.lit(2**20)) < F.col("part"))
 
     def fit(t: pa.Table) -> pa.Table:
@@ -330,14 +357,16 @@ def _fit_models(rows: DataFrame, sizes: dict[str, int], s: Settings) -> dict[str
     return {r.grp: np.frombuffer(r.w, np.float32).reshape(-1, r.parts) for r in fitted.toLocalIterator()}
 
 
-def _waves(models: dict[str, np.ndarray]) -> list[dict[str, np.ndarray]]:
+def _waves(big: dict[str, int], s: Settings) -> list[dict[str, int]]:
+    """Large groups in shares whose routers take at most MODEL_BYTES; one empty share if there are none."""
     out: list[dict] = [{}]
     size = 0
-    for g, w in models.items():
-        if size + w.nbytes > MODEL_BYTES and out[-1]:
+    for g, n in big.items():
+        own = (s.dim + 1) * 4 * min(-(-n // s.cell_rows), s.max_parts)
+        if size + own > MODEL_BYTES and out[-1]:
             out.append({})
             size = 0
-        out[-1][g], size = w, size + w.nbytes
+        out[-1][g], size = n, size + own
     return out
 
 
@@ -349,17 +378,17 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
     similarities go to the smaller id. A group with fewer vectors gives what it has, a single
     vector or an empty table nothing. A null group is a group. Further columns are not read."""
     s = settings or Settings()
-    rows = df.select(F.col(group).cast("string").alias("grp"), F.col(ident).cast("string").alias("id"), F.col(vector).alias("vec")).where("id IS NOT NULL")
-    sizes = {r.grp: r.n for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.cell_rows).toLocalIterator()}
-    models = _fit_models(rows.where(F.size("vec") == s.dim), sizes, s)
-    waves, found = _waves(models), None
+    name = F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("-"))  # a null group is "-"
+    rows = df.select(name.alias("grp"), F.col(ident).cast("string").alias("id"), F.col(vector).alias("vec")).where("id IS NOT NULL")
+    big = {r.grp: r.n for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.cell_rows).toLocalIterator()}
+    waves, found = _waves(big, s), None
     head = "grp string, cell int, bblock int, qblock int, role int"
-    for w in waves:
-        others = frozenset(g for o in waves if o is not w for g in o) | (frozenset() if w is waves[0] else frozenset())
-        later = w is not waves[0]
-        sent = rows.sparkSession.sparkContext.broadcast(w)
-        part = rows.where(F.col("grp").isin(list(w))) if later else rows
-        blocks = _blocks(part, sent, others, head, s) if w else {}
+    for k, w in enumerate(waves):
+        # the first share has the small groups too
+        part = rows.where(F.col("grp").isin(list(w))) if k else rows
+        others = frozenset() if k else frozenset(g for o in waves[1:] for g in o)
+        sent = rows.sparkSession.sparkContext.broadcast(_fit_models(part.where(F.size("vec") == s.dim), w, s))
+        blocks = _blocks(part, sent, list(w), head, s) if w else {}
 
         def route(batches, sent=sent, others=others, blocks=blocks):
             return _routed(batches, sent.value, others, blocks, s)
@@ -370,8 +399,9 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
     # as many lists as blocks visited; sorted by cosine, then by the id itself
     named = F.transform(F.flatten("found"), lambda f: F.struct(f["neg"].alias("neg"), unpacked_id(f["id"]).alias("name"), f["id"].alias("id")))
     top = found.groupBy("grp", "id").agg(F.collect_list("found").alias("found")).select("grp", "id", F.slice(F.array_sort(named), 1, s.k).alias("found"))
+    shown = F.when(F.col("grp") != "-", F.substring("grp", 2, 1 << 30)).alias("grp")
     return top.select("grp", "id", F.posexplode("found").alias("rank", "_f")).select(
-        "grp", "id", (F.col("rank") + 1).alias("rank"), F.col("_f.id").alias("neighbour"), (-F.col("_f.neg")).alias("cosine")
+        shown, "id", (F.col("rank") + 1).alias("rank"), F.col("_f.id").alias("neighbour"), (-F.col("_f.neg")).alias("cosine")
     )
 
 
@@ -380,10 +410,10 @@ def neighbour_rows(near: DataFrame) -> DataFrame:
     return near.withColumns({"id": unpacked_id(F.col("id")), "neighbour": unpacked_id(F.col("neighbour"))})
 
 
-def _blocks(part: DataFrame, sent, others: frozenset, head: str, s: Settings) -> dict:
+def _blocks(part: DataFrame, sent, groups: list[str], head: str, s: Settings) -> dict:
     """Cells that came out larger than a block: group -> cell -> (base blocks, query blocks)."""
-    large = part.where(F.col("grp").isin(list(sent.value)))
-    counted = large.mapInArrow(lambda it: _routed(it, sent.value, others, None, s), head).groupBy("grp", "cell").agg(
+    large = part.where(F.col("grp").isin(groups))
+    counted = large.mapInArrow(lambda it: _routed(it, sent.value, frozenset(), None, s), head).groupBy("grp", "cell").agg(
         F.sum((F.col("role") == BOTH).cast("bigint")).alias("nb"), F.count(F.lit(1)).alias("nq")
     )
     over = (F.col("nb") > s.block_rows) | (F.col("nq") > 4 * s.block_rows)
