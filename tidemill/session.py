@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     is not seen by the other machines."""
     d = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getConf().get(SHARED_DIR_KEY)
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {SHARED_DIR_KEY} to a folder that all executors share")
         d = "file://" + tempfile.mkdtemp(prefix="tidemill-")
         spark.conf.set(SHARED_DIR_KEY, d)
