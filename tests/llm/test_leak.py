@@ -82,3 +82,12 @@ def test_share_against_full_alignment(share):
         for j in range(90):
             lcs[i + 1][j + 1] = lcs[i][j] + 1 if p[i] == d[j] else max(lcs[i][j + 1], lcs[i + 1][j])
     assert leak.held(p, d, hits, 7, 1.0) >= lcs[90][90] / 90 - 0.1
+
+
+def test_slices_keep_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(leak, "SLICE_BYTES", 10)
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["abc", None, "x" * 25, "", "yyyyyyyyyy", "z"])], ["a", "b"])
+    out = list(leak._slices(iter([b, b.slice(0, 0)])))
+    assert [i for x in out for i in x.column(0).to_pylist()] == list(range(6)) and len(out) > 2

@@ -13,9 +13,11 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Token positions that count in a window: spaced seeds of weight 6.
@@ -41,9 +43,12 @@ class Settings:
 #: and they touch more than a third of it; with one word of three it is 0.26. Random pairs have 0.04.
 SEEDS_PER_TOKEN, TOUCHED = 0.07, 0.2
 _CELL = 6
+#: Text that is searched at once: bounds a worker's memory, whatever the batch.
+SLICE_BYTES = 4 << 20
 
 
 _MARKUP = re.compile(r"<[/!]?[a-zA-Z][^<>]{0,200}>|&(?:#\d{1,7}|#x[0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});|[\u00ad\u200b-\u200f\u2060\ufeff*_`~]")
+_MARKED = re.compile(r"[<&*_`~\u00ad\u200b-\u200f\u2060\ufeff]")
 _WIDE = "\u2e80-\u2fff\u3005\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
 _TOKEN = re.compile(rf"[{_WIDE}]|[^\W_{_WIDE}]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
@@ -55,10 +60,11 @@ _ALPHABET = re.compile("[\u00c0-\u024f\u0400-\u04ff]")
 
 def tokens(text: str) -> list[str]:
     """Words and single ideographs, differences of form taken away."""
-    if "<" in text or "&" in text or not text.isascii() or any(c in text for c in "*_`~"):
+    if _MARKED.search(text):
         text = _MARKUP.sub(lambda m: " " if m.group()[0] in "<_" and m.group()[1:3].lower() in ("br", "p>", "/p", "di", "/d", "li", "/l", "") else html.unescape(m.group()) if m.group()[0] == "&" else "", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
+        if not unicodedata.is_normalized("NFKC", text):
+            text = unicodedata.normalize("NFKC", text)
         if _ALPHABET.search(text):
             text = _ACCENT.sub("", unicodedata.normalize("NFD", text))
         text = text.replace("’", "'")
@@ -181,14 +187,24 @@ def held(p: np.ndarray, d: np.ndarray, hits: np.ndarray, least: float, penalty:
     return max(best, default=0) / max(1, len(p))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most SLICE_BYTES of text, or of one row."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
+        cuts = np.unique(np.r_[0, np.searchsorted(size, np.arange(SLICE_BYTES, int(size[-1]) if len(size) else 0, SLICE_BYTES), "right"), len(size)])
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield b.slice(i, j - i)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], index: Index, s: Settings) -> Iterator[pa.RecordBatch]:
     gap = MASKS[-1][-1] + 1
-    for batch in batches:
+    for batch in _slices(batches):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         get = index.vocab.get
         coded, starts, at = [], [], 0
         for t in texts:
-            c = np.array([get(x, 0) for x in tokens(t)] if t else [], dtype=np.int32)
+            words = tokens(t) if t else []
+            c = np.fromiter(map(get, words, repeat(0)), np.int32, len(words))
             coded += [c, np.zeros(gap, np.int32)]
             starts.append(at)
             at += len(c) + gap

@@ -374,7 +374,8 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
     """(grp, id, rank, neighbour, cosine), identifiers packed (see ``neighbour_rows``): the k most similar others of every usable vector within its group.
 
     Vectors that are null, of another length, not finite, with a null entry or all zero take no
-    part; neither do rows with a null id. An id stored more than once counts once. Equal
+    part; neither do rows with a null id. An id stored more than once counts once (if
+    with different vectors, each of them is a candidate). Equal
     similarities go to the smaller id. A group with fewer vectors gives what it has, a single
     vector or an empty table nothing. A null group is a group. Further columns are not read."""
     s = settings or Settings()
