@@ -113,10 +113,10 @@ def doc_index_versions(spark, sf_dir):
     """Chunks that each set of index settings makes of the current sources."""
     meta = F.from_json("metadata", "chunk_size int, chunk_overlap int")
     out = None
-    for r in table(spark, sf_dir, "index_metadata").select("name", meta.alias("m")).orderBy("name").collect():
+    for r in table(spark, sf_dir, "index_metadata").select("name", meta.alias("m")).orderBy("name").collect():  # a row per index
         n = _chunks(spark, sf_dir, r.m.chunk_size, r.m.chunk_overlap).agg(F.count(F.lit(1)).alias("chunks")).select(F.lit(r.name).alias("name"), "chunks")
         out = n if out is None else out.unionByName(n)
-    return out
+    return out if out is not None else spark.createDataFrame([], "name string, chunks bigint")
 
 
 # --- vectors -----------------------------------------------------------------------------
