@@ -132,6 +132,21 @@ SELECT source_table, id, arg_max(coalesce(t_after, t_before), n) AS tenant_id, a
 FROM lives WHERE n > gone GROUP BY source_table, id
 """
 
+def _p4_rows() -> str:
+    """Every field's last observation since the row last came into being; arg_max skips nulls."""
+    ph = ", ".join(f"'{u}'" for u in change_feed.UNAVAILABLE)
+
+    def seen(f: str) -> str:
+        a, b = f"(\"after\"->>'{f}')", f"(\"before\"->>'{f}')"
+        told = f"json_exists(\"after\", '$.{f}') AND coalesce({a} NOT IN ({ph}), TRUE)" + (f" AND {a} IS NOT NULL" if f == "tenant_id" else "")
+        return f"CASE WHEN coalesce({told}, FALSE) THEN {{'v': {a}}} WHEN {b} IS NOT NULL AND {b} NOT IN ({ph}) THEN {{'v': {b}}} END AS {f}"
+
+    fields = ", ".join(f"arg_max({f}, n).v AS {f}" for f in FEED_FIELDS)
+    head, _, _ = _P4.partition("SELECT source_table, id, arg_max")
+    head = head.replace('"before"->>\'tenant_id\' AS t_before', '"before"->>\'tenant_id\' AS t_before, ' + ", ".join(seen(f) for f in FEED_FIELDS))
+    return head + f"SELECT source_table, id, {fields}, arg_max(ts_ms, n) AS ts_ms FROM lives WHERE n > gone GROUP BY source_table, id"
+
+
 _P5 = """
 WITH child AS (
   SELECT 'article_comment' AS child_table, CAST(id AS VARCHAR) AS child_key, tenant_id,
@@ -159,6 +174,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_drift": _P3 + """SELECT tenant_id, source_table, CAST(count(*) FILTER (field_name = 'missing') AS BIGINT) AS missing,
             CAST(count(*) FILTER (field_name = 'orphan') AS BIGINT) AS orphan FROM found GROUP BY ALL""",
         "p4_found": _P4,
+        "p4_rows": _p4_rows(),
         "p5_found": _P5 + "SELECT child_table, child_key, min(period) AS period FROM lost GROUP BY ALL",
         "p5_report": _P5 + """SELECT parent_table, period, count(DISTINCT (tenant_id, parent_key)) AS lost_keys,
             count(*) AS lost_refs FROM lost GROUP BY ALL""",
