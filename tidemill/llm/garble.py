@@ -7,6 +7,7 @@ encoding and the evidence is enough, that span, and nothing else, is replaced.""
 
 from __future__ import annotations
 
+import bisect
 import functools
 import itertools
 import re
@@ -150,8 +151,8 @@ def _weight(text: str, i: int, j: int, c: str) -> float:
             return 1.6
         mixed = any(x.isascii() and x.isalpha() for x in (before, after)) and kinds[0] == "R"
         return 1.6 if mixed and j - i == 2 else 1.0 if mixed else 0.25
-    if "가" <= c <= "힣":
-        return 0.4
+    if "가" <= c <= "힣":  # what bytes of other garblings make by chance: two together are evidence
+        return 1.0 if len(set(kinds)) > 1 else 0.4
     if j - i > 2:
         return 2.0
     if kinds[0] == "L":
@@ -330,42 +331,51 @@ def _russian_as_latin(text: str) -> list[tuple[int, int, str | None, float]]:
                     low = low.lower()
                     seen += len(low) - 1
                     pairs += sum(low[i : i + 2] in _PAIRS_RU for i in range(len(low) - 1))
-            if seen >= 6 and any(b - a >= 4 for a, b, _, _ in hits) and pairs >= 0.2 * seen:
+            # no other language has six such letters in a row
+            if any(b - a >= 6 for a, b, _, _ in hits) and pairs or seen >= 6 and any(b - a >= 4 for a, b, _, _ in hits) and pairs >= 0.2 * seen:
                 spans += hits
                 most += pairs
         out.append((most, spans))
     return max(out, key=lambda x: x[0])[1]
 
 
-def _letterwise(text: str, counts: list[tuple[int, tuple]], newlines: list[int]) -> list[tuple[int, int, str | None, float]]:
-    """Russian in one Cyrillic set read as another, line by line."""
-    import bisect
-
+def _letterwise(text: str, counts: list[tuple[int, tuple]], breaks: list[int]) -> list[tuple[int, int, str | None, float]]:
+    """Russian in one Cyrillic set read as another, clause by clause; short clauses follow the
+    others of their line."""
     by: dict[int, dict[str, int]] = {}
     for i, ws in counts:
-        line = by.setdefault(bisect.bisect(newlines, i), {})
+        part = by.setdefault(bisect.bisect(breaks, i), {})
         for w in ws:
             if ">" in w:
-                line[w] = line.get(w, 0) + 1
-    out = []
+                part[w] = part.get(w, 0) + 1
+    known: dict[int, str] = {}
+    out: dict[int, tuple[int, int, str, float]] = {}
+
+    def judged(n: int, pair: str) -> tuple[int, int, str, int, int, int]:
+        a, b = breaks[n - 1] + 1 if n else 0, breaks[n] if n < len(breaks) else len(text)
+        true, read = pair.split(">")
+        raw = "".join(x if x.isascii() else x.encode(read, "ignore").decode(true, "ignore") or x for x in text[a:b])
+        good, bad = (sum(x.lower()[i : i + 2] in _PAIRS_RU for i in range(len(x) - 1)) for x in (raw, text[a:b]))
+        return a, b, raw, len(_CYR.findall(text[a:b])), good, bad
+
     for n, c in by.items():
-        a = newlines[n - 1] + 1 if n else 0
-        b = newlines[n] if n < len(newlines) else len(text)
-        line = text[a:b]
-        letters = len(_CYR.findall(line))
         best = max(c, key=lambda w: (c[w], w))
-        if letters < 10 or c[best] < 0.12 * letters:
-            continue
-        true, read = best.split(">")
-        try:
-            raw = "".join(x if x.isascii() else x.encode(read).decode(true) for x in line)
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            raw = "".join(x if x.isascii() else (x.encode(read, "ignore").decode(true, "ignore") or x) for x in line)
-        good, bad = (sum(x.lower()[i : i + 2] in _PAIRS_RU for i in range(len(x) - 1)) for x in (raw, line))
+        a, b, raw, letters, good, bad = judged(n, best)
         cyr = sum("\u0400" <= x <= "\u04ff" for x in raw)
-        if cyr >= 0.8 * letters and sum(x.islower() for x in raw) >= 0.5 * letters and good >= 0.25 * letters and good > 2 * bad:
-            out.append((a, b, raw, 3.0))
-    return out
+        if letters >= 10 and c[best] >= 0.12 * letters and cyr >= 0.8 * letters and sum(x.islower() for x in raw) >= 0.5 * letters and good >= 0.15 * letters and good > 2 * bad:
+            known.setdefault(text.rfind("\n", 0, a), best)
+            out[n] = (a, b, raw, 3.0)
+    for start, pair in known.items():  # a line of which most is misread is misread as a whole
+        end = text.find("\n", start + 1)
+        end = len(text) if end < 0 else end
+        inside = range(bisect.bisect(breaks, start), bisect.bisect_left(breaks, end) + 1)
+        if sum(len(_CYR.findall(out[n][2])) for n in inside if n in out) >= 0.5 * len(_CYR.findall(text[start + 1 : end])):
+            for n in inside:
+                if n not in out:
+                    a, b, raw, letters, good, bad = judged(n, pair)
+                    if letters and good >= bad:
+                        out[n] = (a, b, raw, 3.0)
+    return sorted(out.values())
 
 
 def garbled_spans(text: str | None) -> list[tuple[int, int, str | None]]:
@@ -406,8 +416,7 @@ def garbled_spans(text: str | None) -> list[tuple[int, int, str | None]]:
     if lost:  # what no decoding leaves in a text
         found.append((0.0, lost))
     if letters:
-        newlines = [m.start() for m in re.finditer(r"[\n.!?;]", text)]  # judged piece by piece
-        spans = _letterwise(text, letters, newlines)
+        spans = _letterwise(text, letters, [m.start() for m in re.finditer(r"[\n.!?;:,|]", text)])
         found += [(sum(s[3] for s in spans), spans)] if spans else []
     out: list[tuple[int, int, str | None]] = []
     for total, spans in sorted(found, key=lambda x: -x[0]):
