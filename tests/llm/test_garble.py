@@ -61,6 +61,7 @@ def test_right_text_is_left_alone(t):
 def test_national_sets():
     assert garble.restore(TEXT["zh"].encode("gbk").decode("latin-1"))[0] == TEXT["zh"]
     assert garble.restore(TEXT["ru"].encode("cp1251").decode("latin-1"))[0] == TEXT["ru"]
+    assert garble.restore(TEXT["ru"].encode("koi8_r").decode("latin-1"))[0] == TEXT["ru"]
     assert garble.restore(TEXT["ru"].encode("koi8_r").decode("cp1251"))[0] == TEXT["ru"]
 
 

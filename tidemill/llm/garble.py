@@ -331,9 +331,10 @@ def _russian_as_latin(text: str) -> list[tuple[int, int, str | None, float]]:
                     low = low.lower()
                     seen += len(low) - 1
                     pairs += sum(low[i : i + 2] in _PAIRS_RU for i in range(len(low) - 1))
+            sure = seen >= 6 and any(b - a >= 4 for a, b, _, _ in hits) and pairs >= 0.2 * seen
             # no other language has six such letters in a row
-            if any(b - a >= 6 for a, b, _, _ in hits) and pairs or seen >= 6 and any(b - a >= 4 for a, b, _, _ in hits) and pairs >= 0.2 * seen:
-                spans += hits
+            if sure or any(b - a >= 6 for a, b, _, _ in hits) and pairs:
+                spans += [(a, b, x, w * (b - a) if sure else w) for a, b, x, w in hits]  # sure: rather than ideographs
                 most += pairs
         out.append((most, spans))
     return max(out, key=lambda x: x[0])[1]

@@ -33,7 +33,7 @@ class Settings:
     the ends of its stretches hide. stretch: least matches less
     changes in one stretch, in words and in ideographs. penalty: weight of a changed token."""
 
-    least: float = 0.45
+    least: float = 0.47
     stretch: int = 7
     stretch_wide: int = 10
     penalty: float = 1.0
