@@ -9,7 +9,7 @@ from tidemill.functions import ids, text, vectors
 from tidemill.model import INDEX_KEYS, TABLES
 from tidemill.operators import dead_letters, diff, documents, metrics, quality, reconcile, search
 from tidemill.plans.cdc import messages
-from tidemill.session import fresh_dir
+from tidemill.session import fresh_dir, ship
 from tidemill.sources.golden import read_golden
 from tidemill.sources.tables import table
 
@@ -178,6 +178,7 @@ def vec_tenant_view(spark, sf_dir):
 
 def vec_embed(spark, sf_dir):
     """Documents' vectors by the stand-in model."""
+    ship(spark)
     e = vectors.embed(F.col("text"), vectors.hashed_words(64))
     return table(spark, sf_dir, "documents").select("doc_id", e.alias("v")).select("doc_id", F.round(vectors.norm(F.col("v")), 4).alias("length"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import vectors
 from tidemill.operators import search
+from tidemill.session import ship
 
 NO_ANSWER = "The knowledge base has nothing on this."
 QUERY_PREFIX = ""
@@ -39,6 +40,7 @@ def hits(questions: DataFrame, items: DataFrame, keys: dict[str, str], model: Ca
 
     A question with a missing or unknown key is refused."""
     request.check()
+    ship(questions.sparkSession)
     known = F.create_map(*[F.lit(x) for kv in keys.items() for x in kv]) if keys else F.create_map()
     if questions.where(F.col("access_key").isNull() | ~F.col("access_key").isin(list(keys))).limit(1).count():
         raise PermissionError("unknown key")

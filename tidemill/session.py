@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once per context, so that Python functions find it there
+    wherever the session was started."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if not getattr(sc, "_tidemill_shipped", False) and root.is_dir():
+        path = Path(tempfile.mkdtemp(prefix="tidemill-")) / "tidemill.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f"{root.name}/{f.relative_to(root).as_posix()}")
+        sc.addPyFile(str(path))
+        sc._tidemill_shipped = True
+    return spark
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
