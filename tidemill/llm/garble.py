@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import ship
+
 #: UTF-8 read as one of these. A byte without a character in it is taken as a C1 control.
 SINGLE_BYTE = ("cp1252", "iso8859_15", "cp1251", "cp437", "cp850", "mac_roman", "koi8_r", "cp866", "cp1250", "iso8859_5", "mac_cyrillic")
 #: UTF-8 read as one of these; characters do not begin where bytes of the text's characters do.
@@ -465,6 +467,7 @@ def find_garbled(df: DataFrame, text: str, with_text: bool = True) -> DataFrame:
     if clash:
         raise ValueError(f"rename {sorted(clash)} first")
 
+    ship(df.sparkSession)
     kind = "n int, ok boolean" + (", restored string" if with_text else "")
 
     @F.pandas_udf(kind)

@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tidemill.session import ship
+
 #: Token positions that count in a window: spaced seeds of weight 6.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9), (0, 3, 4, 7, 9, 10), (0, 2, 5, 6, 9, 11))
 #: Most passages, and characters of passages, that are sent to every executor at once; more are
@@ -255,7 +257,7 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     reported once each; document ids are taken as 64-bit integers. The passages, in blocks of
     BLOCK_ITEMS, go to all executors; every document is read whole."""
     s = settings or Settings()
-    spark, out = docs.sparkSession, None
+    spark, out = ship(docs.sparkSession), None
     sel = docs.select(docs[doc_id].cast("bigint").alias(doc_id), text)
     known = items.select(item_id, passage).where(items[passage].isNotNull()).distinct().orderBy(item_id, passage)
     for block in _blocks((r[0], r[1]) for r in known.toLocalIterator()):

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import ship
+
 #: Bytes of classifiers sent to every executor at once; groups beyond it are handled in further passes.
 MODEL_BYTES = 256 << 20
 
@@ -379,6 +381,7 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
     similarities go to the smaller id. A group with fewer vectors gives what it has, a single
     vector or an empty table nothing. A null group is a group. Further columns are not read."""
     s = settings or Settings()
+    ship(df.sparkSession)
     name = F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("-"))  # a null group is "-"
     rows = df.select(name.alias("grp"), F.col(ident).cast("string").alias("id"), F.col(vector).alias("vec")).where("id IS NOT NULL")
     big = {r.grp: r.n for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.cell_rows).toLocalIterator()}

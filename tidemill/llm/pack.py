@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.session import written
+from tidemill.session import ship, written
 
 CAPACITY = 2048
 #: A vocabulary file of a public tokenizer, as ranks.
@@ -78,6 +78,8 @@ def _begins_word(enc, t: list[int], i: int) -> bool:
 def sizes(df: DataFrame, ident: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """(ident, piece, begin, end, tokens): one row per text, or per piece of one that exceeds the capacity."""
 
+    ship(df.sparkSession)
+
     @F.pandas_udf("array<struct<begin int, end int, tokens int>>")
     def f(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import ship
+
 LIMIT, OVERLAP = 400, 50
 
 #: Boundaries, strongest first; a cut may stand at the end of a match.
@@ -103,6 +105,7 @@ def split_items(df: DataFrame, text: str, limit: int = LIMIT, overlap: int = OVE
     clash = {"chunk_index", "n_chunks", "start", "piece", "_cuts", "_i"} & set(keep)
     if clash:
         raise ValueError(f"rename {sorted(clash)} first")
+    ship(df.sparkSession)
     one = df.withColumn("_cuts", cuts(F.col(text), limit, overlap)).where("size(_cuts) > 1")
     row = one.select(*keep, text, "_cuts", F.explode(F.sequence(F.lit(0), F.size("_cuts") - 2)).alias("_i"))
     start, stop = F.col("_cuts")[F.col("_i")], F.col("_cuts")[F.col("_i") + 1]
@@ -118,5 +121,6 @@ def oversized(df: DataFrame, text: str, limit: int = LIMIT, overlap: int = OVERL
 
     Texts not longer than the limit before trimming aren't handed to Python."""
     keep = [c for c in df.columns if c != text]
+    ship(df.sparkSession)
     long = df.where(F.length(text) > limit)
     return long.withColumn("_cuts", cuts(F.col(text), limit, overlap)).where("size(_cuts) > 2").select(*keep)
