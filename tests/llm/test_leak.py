@@ -91,3 +91,35 @@ def test_slices_keep_all_rows(monkeypatch):
     b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["abc", None, "x" * 25, "", "yyyyyyyyyy", "z"])], ["a", "b"])
     out = list(leak._slices(iter([b, b.slice(0, 0)])))
     assert [i for x in out for i in x.column(0).to_pylist()] == list(range(6)) and len(out) > 2
+
+
+@pytest.mark.parametrize("kind", ["every third changed", "every sixth dropped", "dropped", "two for one", "none to two for one", "ideographs inserted", "ideographs replaced"])
+def test_whole_passage_with_shifts(spark, kind):
+    """Dropped, inserted and differently long words, up to two in five, in a passage held whole."""
+    rng = random.Random(kind)
+    other = lambda k: [f"other{rng.randint(1, 10**6)}" for _ in range(k)]
+    wide = kind.startswith("ideographs")
+    items, docs = [], []
+    for i in range(30):
+        p = [chr(rng.randint(0x4E00, 0x51FF)) for _ in range(120)] if wide else [f"word{rng.randint(1, 600)}" for _ in range(120)]
+        d = []
+        for k, x in enumerate(p):
+            hit = rng.random() < 0.4
+            if kind == "every sixth dropped":
+                d += [] if k % 6 == 5 else [x]
+            elif kind == "every third changed":
+                d += other(1) if k % 3 == 2 else [x]
+            elif kind == "dropped":
+                d += [] if hit else [x]
+            elif kind == "two for one":
+                d += other(2) if hit else [x]
+            elif kind == "none to two for one":
+                d += other(rng.randint(0, 2)) if hit else [x]
+            elif kind == "ideographs inserted":
+                d += [x, "龘"] if k % 9 == 8 else [x]
+            elif k % 2 == 0:
+                d += [chr(rng.randint(0x6000, 0x8000)) for _ in range(rng.randint(1, 3))] if hit else p[k : k + 2]
+        items.append((i, ("" if wide else " ").join(p)))
+        docs.append(("。" if wide else " ").join([("" if wide else " ").join(other(20)), ("" if wide else " ").join(d)]))
+    got = found(spark, docs, items)
+    assert len([1 for d, i in got if d == i]) >= 25 and not [1 for d, i in got if d != i]

@@ -1,10 +1,11 @@
 """Held-out passages that appear, wholly or in part, in a corpus.
 
 Passages and documents become sequences of words (single characters for ideographs), without
-case, width, marks of accent, punctuation and mark-up. Fixed masks pick token positions of
-every window and ignore the others, so that a changed word spoils only the masks that look at
-it. The hashes of both sides are joined; around the hits the passage is laid along the document
-and stretches with a minority of changed words are chained in running order."""
+case, width, marks of accent, punctuation and mark-up. Five words in order, with at
+most two neighbouring ones left out on either side, make a seed, so that a changed, dropped or
+inserted word spoils only the seeds around it. The hashes of both sides are joined; around the hits the passage is aligned with the document,
+insertions and deletions allowed, and stretches with a minority of changed words are chained in
+running order."""
 
 from __future__ import annotations
 
@@ -22,29 +23,36 @@ from pyspark.sql import DataFrame
 
 from tidemill.session import ship
 
-#: Token positions that count in a window: spaced seeds of weight 6.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9), (0, 3, 4, 7, 9, 10), (0, 2, 5, 6, 9, 11))
+#: Token positions that count in a window. All are hashed alike on both sides: what counts is the
+#: sequence of the words, not the places of those left out.
+MASKS = ((0, 1, 2, 3, 4), *((*range(k), *range(k + gap, 5 + gap)) for gap in (1, 2) for k in range(1, 5)))
+#: The same with six words, for words changed one by one.
+MASKS += ((0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9), (0, 3, 4, 7, 9, 10), (0, 2, 5, 6, 9, 11))
+#: A pair is aligned where seeds begin at this many places of the passage and at this share of its tokens, within BAND
+#: neighbouring diagonals. If two words of five are changed, dropped or inserted, they begin at 0.13 to 0.2 of the tokens.
+SEEDS, SEEDS_PER_TOKEN, BAND = 3, 0.03, 32
+#: Score of an equal token.
+MATCH = 4
+#: Share of changes from which a stretch is measured again with changes at half their weight.
+MUCH = 0.2
+#: Diagonals that are aligned at once, those of many pairs; diagonals on either side of the hits, besides a twelfth of the passage.
+CELLS, SLACK = 1 << 16, 10
 #: Most passages, and characters of passages, that are sent to every executor at once; more are
 #: handled in further passes over the corpus. A single longer passage is a block of its own.
-BLOCK_ITEMS, BLOCK_CHARS = 20_000, 8_000_000
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 5_000_000
 
 
 @dataclass(frozen=True)
 class Settings:
-    """least: share of the passage that a document must hold; half, less what changed words at
-    the ends of its stretches hide. stretch: least matches less
-    changes in one stretch, in words and in ideographs. penalty: weight of a changed token."""
+    """least: share of the passage that a document must hold. stretch: least matches less
+    changes in one stretch, in words and in ideographs. penalty: weight of a changed or missing
+    token of the passage; an inserted one has a quarter of it."""
 
     least: float = 0.47
     stretch: int = 7
     stretch_wide: int = 10
     penalty: float = 1.0
 
-#: Fewest common seeds per token of a passage, and the least share of it that they touch. If two words
-#: of five are changed in half a passage, 0.126 seeds a token are expected to be left over all masks,
-#: and they touch more than a third of it; with one word of three it is 0.26. Random pairs have 0.04.
-SEEDS_PER_TOKEN, TOUCHED = 0.07, 0.2
-_CELL = 6
 #: Text that is searched at once: bounds a worker's memory, whatever the batch.
 SLICE_BYTES = 4 << 20
 
@@ -73,28 +81,24 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
-def _mult() -> np.ndarray:
-    return np.random.default_rng(20240611).integers(1, 2**63, size=(len(MASKS), 8), dtype=np.uint64) | np.uint64(1)
-
-
-def seed_hashes(code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per mask: window starts and hashes of the windows whose counting positions are all known (> 0)."""
-    mult, out, wide = _mult(), [], code.astype(np.uint64)
-    for m, mask in enumerate(MASKS):
+def seed_hashes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts and hashes of the windows whose counting positions are all known (> 0), over all masks."""
+    mult = np.random.default_rng(20240611).integers(1, 2**63, size=8, dtype=np.uint64) | np.uint64(1)
+    wide, places, hashes = code.astype(np.uint64), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for mask in MASKS:
         n = len(code) - mask[-1]
         if n <= 0:
-            out.append((np.zeros(0, np.int64), np.zeros(0, np.uint64)))
             continue
         h, ok = np.zeros(n, np.uint64), np.ones(n, bool)
         for j, o in enumerate(mask):
             part = wide[o : o + n]
-            h += part * mult[m, j]
+            h += part * mult[j]
             ok &= part > 0
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         at = np.flatnonzero(ok)
-        out.append((at, h[at]))
-    return out
+        places.append(at), hashes.append(h[at])
+    return np.concatenate(places), np.concatenate(hashes)
 
 
 class Index:
@@ -117,76 +121,178 @@ class Index:
             self.code.append(np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in t], dtype=np.int32))
             self.wide.append(sum(len(x) == 1 and x >= "\u2e80" for x in t) > len(t) / 2)
         self.length = np.array([len(c) for c in self.code], dtype=np.int64)
-        self.seeds = []
         per = [seed_hashes(c) for c in self.code]
-        for m in range(len(MASKS)):
-            h = np.concatenate([p[m][1] for p in per]) if per else np.zeros(0, np.uint64)
-            i = np.concatenate([np.full(len(p[m][1]), k) for k, p in enumerate(per)]) if per else np.zeros(0, int)
-            at = np.concatenate([p[m][0] for p in per]) if per else np.zeros(0, int)
-            o = np.argsort(h, kind="stable")
-            bits = np.zeros(1 << 20, bool)
-            bits[(h >> np.uint64(44)).astype(np.int64)] = True
-            self.seeds.append((h[o], i[o], at[o], bits))
+        h = np.concatenate([x for _, x in per]) if per else np.zeros(0, np.uint64)
+        i = np.concatenate([np.full(len(x), k, np.int32) for k, (x, _) in enumerate(per)]) if per else np.zeros(0, np.int32)
+        at = np.concatenate([x for x, _ in per]).astype(np.int32) if per else np.zeros(0, np.int32)
+        o = np.argsort(h, kind="stable")
+        self.bits = np.zeros(1 << 20, bool)
+        self.bits[(h >> np.uint64(44)).astype(np.int64)] = True
+        self.seeds = h[o], i[o], at[o]
 
     def hits(self, code: np.ndarray) -> np.ndarray:
         """(item number, place in passage, place in code) of every common seed."""
-        out = []
-        for (at, h), (known, item, place, bits) in zip(seed_hashes(code), self.seeds):
-            near = bits[(h >> np.uint64(44)).astype(np.int64)]
-            at, h = at[near], h[near]
-            a, b = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
-            n = b - a
-            if n.sum():
-                rows = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out.append(np.stack([item[rows], place[rows], np.repeat(at, n)], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 3), int)
-
-
-def stretches(p: np.ndarray, d: np.ndarray, shift: int, least: float, penalty: float) -> list[tuple[int, int, int]]:
-    """(begin, end, shift) in the passage of the best stretches along one diagonal."""
-    lo, hi = max(0, -shift), min(len(p), len(d) - shift)
-    if hi <= lo:
-        return []
-    same = p[lo:hi] == d[lo + shift : hi + shift]
-    out, best, score, begin, end = [], 0.0, 0.0, 0, 0
-    for i, s in enumerate(same.tolist()):
-        if score <= 0:
-            score, begin, best = 0.0, i, 0.0
-        score += 1 if s else -penalty
-        if score > best:
-            best, end = score, i + 1
-        if best >= least and (score <= best - 8 or score <= 0):
-            out.append((lo + begin, lo + end, shift))
-            score = best = 0.0
-    if best >= least:
-        out.append((lo + begin, lo + end, shift))
+        at, h = seed_hashes(code)
+        near = self.bits[(h >> np.uint64(44)).astype(np.int64)]
+        at, h = at[near], h[near]
+        known, item, place = self.seeds
+        a, b = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+        n = b - a
+        rows = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.stack([item[rows].astype(np.int64), place[rows].astype(np.int64), np.repeat(at, n)], axis=1)
+
+
+class Bands:
+    """Bands of neighbouring diagonals, many at once: (passage, text, first diagonal, number of diagonals)."""
+
+    def __init__(self, bands: list[tuple[np.ndarray, np.ndarray, int, int]]):
+        self.n, self.width = max(len(x[0]) for x in bands), max(x[3] for x in bands)
+        top = max(max(int(x[0].max(initial=0)), int(x[1].max(initial=0))) for x in bands)
+        kind, self.pad = np.int16 if top < 1 << 15 else np.int32, self.width // 2 + 1
+        self.p = np.full((self.n + 2 * self.pad, len(bands)), -1, kind)
+        self.d = np.full((self.n + self.width + 2, len(bands)), -2, kind)
+        for k, (p, d, first, _) in enumerate(bands):
+            self.p[self.pad : self.pad + len(p), k] = p
+            part = d[max(0, first) : max(0, first + self.n + self.width)]
+            self.d[max(0, -first) : max(0, -first) + len(part), k] = part
+
+    def steps(self) -> Iterator[tuple[slice, slice, slice, slice, np.ndarray]]:
+        """Cells that need earlier ones only: places in a line of diagonals with one more at either end (their own, the
+        next and the former diagonal), rows of the padded passage, whether the tokens are equal."""
+        for x in range(2 * self.n + self.width - 2):
+            c = x % 2
+            k, j = len(range(c, self.width, 2)), (x - c) // 2
+            if not k:
+                continue
+            at = slice(self.pad + j - k + 1, self.pad + j + 1)
+            same = self.p[at][::-1] == self.d[j + c : j + c + k]
+            yield slice(c + 1, c + 2 * k, 2), slice(c + 2, c + 2 * k + 1, 2), slice(c, c + 2 * k - 1, 2), at, same
+
+
+def peaks(b: Bands, change: int, enough: int) -> np.ndarray:
+    """Per band the score of its best stretch, ``enough`` at most: MATCH a match, -change a changed or
+    missing token, a quarter of that an inserted one."""
+    line = np.zeros((b.width + 2, b.p.shape[1]), np.int8 if enough + 2 * change + MATCH < 128 else np.int32)
+    best = np.zeros_like(line)
+    for own, after, before, _, same in b.steps():
+        h = same.view(np.int8) if line.dtype == np.int8 else same.astype(line.dtype)
+        h *= MATCH + change
+        h += line[own]
+        np.maximum(h, line[after], out=h)
+        h -= change
+        np.maximum(h, line[before] - max(1, change // 4), out=h)
+        np.maximum(h, 0, out=h)
+        np.minimum(h, enough, out=h)
+        line[own] = h
+        np.maximum(best[own], h, out=best[own])
+    return best.max(axis=0)
+
+
+def stretches(b: Bands, least: list[int], change: int) -> list[list[tuple[int, int, int, int, int, float]]]:
+    """Per band its stretches, scored as in ``peaks``: (begin, end, place of the begin and of the end in the text less the
+    first diagonal, tokens of the passage held, share of changes). A gap of more than ``least`` tokens within a stretch is not held."""
+    w = max(b.n, b.width).bit_length()  # a value: score, begin, diagonal of the begin; in ends also that of the end
+    one, mask = 1 << 2 * w, (1 << w) - 1
+    line, ends = np.zeros((b.width + 2, b.p.shape[1]), np.int64), np.zeros(b.p.shape, np.int64)
+    rows, where = np.arange(len(b.p))[:, None] - b.pad, np.arange(-1, b.width + 1)[:, None]
+    for own, after, before, at, same in b.steps():
+        h = np.where(same, np.maximum(line[own], (rows[at][::-1] << w) + where[own]) + MATCH * one, line[own] - change * one)
+        np.maximum(h, line[after] - change * one, out=h)
+        np.maximum(h, line[before] - max(1, change // 4) * one, out=h)
+        h[h < one] = 0
+        line[own] = h
+        part = ends[at][::-1]
+        np.maximum(part, np.where(same, (h << w) + where[own], 0), out=part)
+    out = []
+    for k, low in enumerate(least):
+        js = np.flatnonzero(ends[:, k])
+        v = ends[js, k]
+        by: dict[int, list[tuple[int, int, int]]] = {}
+        for j, begin, score, c in zip((js - b.pad).tolist(), (v >> w & (one - 1)).tolist(), (v >> 3 * w).tolist(), (v & mask).tolist()):
+            by.setdefault(begin, []).append((j, score, c))
+        found = []
+        for begin, path in by.items():
+            best = max(range(len(path)), key=lambda q: path[q][1])
+            if path[best][1] < MATCH * low:
+                continue
+            a, (j, score, c) = begin >> w, path[best]
+            gaps = [y - x - 1 for x, y in zip([a, *(q[0] for q in path[:best])], [q[0] for q in path[: best + 1]]) if y - x - 1 > low]
+            long = j + 1 - a
+            found.append((a, j + 1, a + (begin & mask), j + c + 1, long - sum(gaps), (MATCH * long - score) / (MATCH + change) / long))
+        out.append(found)
     return out
 
 
-def held(p: np.ndarray, d: np.ndarray, hits: np.ndarray, least: float, penalty: float) -> float:
-    """Share of the passage p that d holds in running order, as stretches around the hits (place in p, place in d)."""
-    shifts = np.unique(hits[:, 1] - hits[:, 0])
-    # all diagonals at once: the best stretch of most of them is too short
-    at = np.arange(len(p)) + shifts[:, None]
-    same = (d[at.clip(0, len(d) - 1)] == p) & (at >= 0) & (at < len(d))
-    run = np.where(same, 1.0, -penalty).cumsum(axis=1)
-    best_run = (run - np.minimum(np.minimum.accumulate(run, axis=1), 0)).max(axis=1)
-    found = []
-    for shift in shifts[best_run >= least].tolist():
-        found += stretches(p, d, shift, least, penalty)
-    if not found:
-        return 0.0
-    found.sort(key=lambda x: (x[1], x[1] + x[2]))
+def _batches(n: list[int], width: list[int]) -> Iterator[list[int]]:
+    """Numbers of bands of like size, with at most CELLS diagonals in all, or one band."""
+    batch: list[int] = []
+    for k in sorted(range(len(n)), key=lambda k: (n[k] // 24, width[k])):
+        if batch and (width[k] * (len(batch) + 1) > CELLS or n[k] // 24 != n[batch[0]] // 24):
+            yield batch
+            batch = []
+        batch.append(k)
+    if batch:
+        yield batch
+
+
+def chain(found: list[tuple[int, int, int, int, int]]) -> int:
+    """Most tokens of the passage in stretches that follow each other on both sides; what two share counts once."""
+    found = sorted(set(found), key=lambda x: (x[1], x[3]))
     best: list[int] = []
-    for k, (a, b, s) in enumerate(found):  # longest chain by covered length, in order on both sides
-        own = b - a
+    for k, (a, b, c, d, own) in enumerate(found):
+        most = own
         for j in range(k):
-            a2, b2, s2 = found[j]
-            free = max(b2, b2 + s2 - s)  # where the earlier one ends, on both sides
-            if free < b and b2 + s2 <= b + s and a2 <= a:
-                own = max(own, best[j] + b - max(a, free))
-        best.append(own)
-    return max(best, default=0) / max(1, len(p))
+            a2, b2, c2, d2, _ = found[j]
+            over = max(0, b2 - a, d2 - c)
+            if over < own and a2 <= a and c2 <= c and b2 <= b and d2 <= d:
+                most = max(most, best[j] + own - over)
+        best.append(most)
+    return max(best, default=0)
+
+
+def shares(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], penalty: float) -> list[float]:
+    """Share of each passage that its text holds in running order; pairs: (passage, text, hits (place in passage, place in text), least stretch)."""
+    change = max(1, round(MATCH * penalty))
+    bands, of = [], []
+    for k, (p, d, hits, _) in enumerate(pairs):
+        slack = SLACK + len(p) // 12
+        diagonals = np.unique(hits[:, 1] - hits[:, 0])
+        cut = np.flatnonzero(np.diff(diagonals) > slack)
+        for a, b in zip(diagonals[np.r_[0, cut + 1]].tolist(), diagonals[np.r_[cut, len(diagonals) - 1]].tolist()):
+            bands.append((p, d, a - slack, b - a + 2 * slack + 1)), of.append(k)
+    near, most = [], MATCH * max((x[3] for x in pairs), default=0)
+    for batch in _batches([len(x[0]) for x in bands], [x[3] for x in bands]):
+        near += [i for i, top in zip(batch, peaks(Bands([bands[i] for i in batch]), change, most).tolist()) if top >= MATCH * pairs[of[i]][3]]
+    found: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    for weight in (change, (change + 1) // 2):
+        much = []
+        for batch in _batches([len(bands[i][0]) for i in near], [bands[i][3] for i in near]):
+            batch = [near[i] for i in batch]
+            for i, own in zip(batch, stretches(Bands([bands[i] for i in batch]), [pairs[of[i]][3] for i in batch], weight)):
+                first = bands[i][2]
+                found.setdefault(of[i], []).extend((a, b, c + first, d + first, held) for a, b, c, d, held, _ in own)
+                if any(rate >= MUCH for *_, rate in own):
+                    much.append(i)
+        near = much  # where much is changed, a change counts less: else the best stretch ends at the first cluster of changes
+    return [chain(found.get(k, [])) / max(1, len(x[0])) for k, x in enumerate(pairs)]
+
+
+def crowd(pair: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per hit the number of places of the passage where hits of its pair begin within a band of its diagonal."""
+    most = np.zeros(len(pair), np.int64)
+    for off in (0, BAND // 2):
+        band = (at - place + off) // BAND
+        o = np.lexsort((place, band, pair))
+        new = np.r_[True, (np.diff(pair[o]) != 0) | (np.diff(band[o]) != 0)] if len(o) else np.zeros(0, bool)
+        first = new | np.r_[True, np.diff(place[o]) != 0] if len(o) else new
+        group = np.cumsum(new) - 1
+        most[o] = np.maximum(most[o], np.bincount(group, weights=first).astype(np.int64)[group])
+    return most
+
+
+def held(p: np.ndarray, d: np.ndarray, hits: np.ndarray, least: float, penalty: float) -> float:
+    """Share of the passage p that d holds in running order, as stretches around the hits (place in p, place in d)."""
+    return shares([(p, d, hits, int(least))], penalty)[0] if len(hits) else 0.0
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +305,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], index: Index, s: Settings) -> Iterator[pa.RecordBatch]:
-    gap = MASKS[-1][-1] + 1
+    gap = max(m[-1] for m in MASKS) + 1
     for batch in _slices(batches):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         get = index.vocab.get
@@ -217,21 +323,20 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, s: Settings) -> Itera
         doc = np.searchsorted(starts, hits[:, 2], "right") - 1
         order = np.lexsort((hits[:, 0], doc))
         hits, doc = hits[order], doc[order]
-        new = np.r_[True, (np.diff(doc) != 0) | (np.diff(hits[:, 0]) != 0)] if len(doc) else np.zeros(0, bool)
-        edge = np.flatnonzero(new)
-        end = np.r_[edge[1:], len(doc)]
-        cells = np.unique((np.cumsum(new) - 1) << 32 | hits[:, 1] // _CELL) >> 32
-        length = index.length[hits[edge, 0]]
-        near = (end - edge >= np.maximum(2, SEEDS_PER_TOKEN * length)) & (np.bincount(cells, minlength=len(edge)) * _CELL >= TOUCHED * length)
-        rows, items, shares = [], [], []
-        for a, b in zip(edge[near].tolist(), end[near].tolist()):
-            k, i = doc[a], hits[a, 0]
-            least = s.stretch_wide if index.wide[i] else s.stretch
-            pairs = np.stack([hits[a:b, 1], hits[a:b, 2] - starts[k]], axis=1)
-            share = held(index.code[i], coded[2 * k], pairs, least, s.penalty)
-            if share >= s.least:
-                rows.append(k), items.append(index.items[i]), shares.append(share)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(shares, pa.float64())], ["id", "item", "share"])
+        pair = np.cumsum(np.r_[True, (np.diff(doc) != 0) | (np.diff(hits[:, 0]) != 0)]) - 1 if len(doc) else doc
+        places = crowd(pair, hits[:, 1], hits[:, 2])
+        good = places >= np.maximum(SEEDS, SEEDS_PER_TOKEN * index.length[hits[:, 0]])
+        good = np.isin(pair, pair[good]) & (places >= SEEDS)
+        hits, doc, pair = hits[good], doc[good], pair[good]
+        edge = np.flatnonzero(np.r_[True, np.diff(pair) != 0]) if len(doc) else np.zeros(0, int)
+        pairs, near = [], []
+        for a, b in zip(edge.tolist(), np.r_[edge[1:], len(doc)].tolist()):
+            k, i = int(doc[a]), int(hits[a, 0])
+            near.append((k, i))
+            pairs.append((index.code[i], coded[2 * k], np.stack([hits[a:b, 1], hits[a:b, 2] - starts[k]], axis=1), s.stretch_wide if index.wide[i] else s.stretch))
+        found = [(k, index.items[i], share) for (k, i), share in zip(near, shares(pairs, s.penalty)) if share >= s.least]
+        rows, items, part = [x[0] for x in found], [x[1] for x in found], [x[2] for x in found]
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(part, pa.float64())], ["id", "item", "share"])
 
 
 def _blocks(items: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
