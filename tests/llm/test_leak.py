@@ -123,3 +123,18 @@ def test_whole_passage_with_shifts(spark, kind):
         docs.append(("。" if wide else " ").join([("" if wide else " ").join(other(20)), ("" if wide else " ").join(d)]))
     got = found(spark, docs, items)
     assert len([1 for d, i in got if d == i]) >= 25 and not [1 for d, i in got if d != i]
+
+
+def test_bound_of_seeds_keeps_the_tail(monkeypatch):
+    """Two words of five changed in short passages: the same is found as without any bound."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    items = [(i, " ".join(f"word{rng.randint(1, 600)}" for _ in range(63))) for i in range(300)]
+    docs = [" ".join(f"other{rng.randint(1, 10**6)}" if rng.random() < 0.43 else x for x in p.split()) for _, p in items]
+    batch, index = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(docs)], ["id", "text"]), leak.Index(items)
+    scan = lambda: sum(x.num_rows for x in leak._scan(iter([batch]), index, leak.Settings()))
+    got = scan()
+    for name, value in (("SEEDS", 1), ("SEEDS_PER_TOKEN", 0), ("TOUCHED", 0)):
+        monkeypatch.setattr(leak, name, value, raising=False)
+    assert got >= 0.99 * scan() > 0

@@ -30,7 +30,7 @@ MASKS = ((0, 1, 2, 3, 4), *((*range(k), *range(k + gap, 5 + gap)) for gap in (1,
 MASKS += ((0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 7, 9), (0, 3, 4, 7, 9, 10), (0, 2, 5, 6, 9, 11))
 #: A pair is aligned where seeds begin at this many places of the passage and at this share of its tokens, within BAND
 #: neighbouring diagonals. If two words of five are changed, dropped or inserted, they begin at 0.13 to 0.2 of the tokens.
-SEEDS, SEEDS_PER_TOKEN, BAND = 3, 0.03, 32
+SEEDS, SEEDS_PER_TOKEN, BAND = 2, 0.03, 32
 #: Score of an equal token.
 MATCH = 4
 #: Share of changes from which a stretch is measured again with changes at half their weight.
