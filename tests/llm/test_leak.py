@@ -138,3 +138,11 @@ def test_bound_of_seeds_keeps_the_tail(monkeypatch):
     for name, value in (("SEEDS", 1), ("SEEDS_PER_TOKEN", 0), ("TOUCHED", 0)):
         monkeypatch.setattr(leak, name, value, raising=False)
     assert got >= 0.99 * scan() > 0
+
+
+def test_half_is_half(spark):
+    """Unchanged text has no slack, changed words at the ends of stretches are held."""
+    p, noise = [f"word{i}" for i in range(100)], " ".join(f"other{i}" for i in range(60))
+    changed = ["new" if i % 4 == 3 else w for i, w in enumerate(p)]
+    docs = [" ".join(p[:k]) + " " + noise for k in (48, 49, 50)] + [" ".join(changed[:52]) + " " + noise, " ".join(changed[:40]) + " " + noise]
+    assert {d for d, _ in found(spark, docs, [(1, " ".join(p))])} == {2, 3}

@@ -48,7 +48,7 @@ class Settings:
     changes in one stretch, in words and in ideographs. penalty: weight of a changed or missing
     token of the passage; an inserted one has a quarter of it."""
 
-    least: float = 0.47
+    least: float = 0.5
     stretch: int = 7
     stretch_wide: int = 10
     penalty: float = 1.0
@@ -235,10 +235,10 @@ def _batches(n: list[int], width: list[int]) -> Iterator[list[int]]:
         yield batch
 
 
-def chain(found: list[tuple[int, int, int, int, int]]) -> int:
+def chain(found: list[tuple[int, int, int, int, float]]) -> float:
     """Most tokens of the passage in stretches that follow each other on both sides; what two share counts once."""
     found = sorted(set(found), key=lambda x: (x[1], x[3]))
-    best: list[int] = []
+    best: list[float] = []
     for k, (a, b, c, d, own) in enumerate(found):
         most = own
         for j in range(k):
@@ -247,7 +247,7 @@ def chain(found: list[tuple[int, int, int, int, int]]) -> int:
             if over < own and a2 <= a and c2 <= c and b2 <= b and d2 <= d:
                 most = max(most, best[j] + own - over)
         best.append(most)
-    return max(best, default=0)
+    return max(best, default=0.0)
 
 
 def shares(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], penalty: float) -> list[float]:
@@ -263,18 +263,20 @@ def shares(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], penalty:
     near, most = [], MATCH * max((x[3] for x in pairs), default=0)
     for batch in _batches([len(x[0]) for x in bands], [x[3] for x in bands]):
         near += [i for i, top in zip(batch, peaks(Bands([bands[i] for i in batch]), change, most).tolist()) if top >= MATCH * pairs[of[i]][3]]
-    found: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    found: dict[int, list[tuple[int, int, int, int, float]]] = {}
     for weight in (change, (change + 1) // 2):
         much = []
         for batch in _batches([len(bands[i][0]) for i in near], [bands[i][3] for i in near]):
             batch = [near[i] for i in batch]
             for i, own in zip(batch, stretches(Bands([bands[i] for i in batch]), [pairs[of[i]][3] for i in batch], weight)):
                 first = bands[i][2]
-                found.setdefault(of[i], []).extend((a, b, c + first, d + first, held) for a, b, c, d, held, _ in own)
+                for a, b, c, d, held, rate in own:  # the run of changed tokens to be expected beyond either end is held too
+                    run = max(0.0, rate) / (1 - min(rate, 0.5))
+                    found.setdefault(of[i], []).append((a, b, c + first, d + first, held + min(a, run) + min(len(bands[i][0]) - b, run)))
                 if any(rate >= MUCH for *_, rate in own):
                     much.append(i)
         near = much  # where much is changed, a change counts less: else the best stretch ends at the first cluster of changes
-    return [chain(found.get(k, [])) / max(1, len(x[0])) for k, x in enumerate(pairs)]
+    return [min(1.0, chain(found.get(k, [])) / max(1, len(x[0]))) for k, x in enumerate(pairs)]
 
 
 def crowd(pair: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
