@@ -146,3 +146,10 @@ def test_half_is_half(spark):
     changed = ["new" if i % 4 == 3 else w for i, w in enumerate(p)]
     docs = [" ".join(p[:k]) + " " + noise for k in (48, 49, 50)] + [" ".join(changed[:52]) + " " + noise, " ".join(changed[:40]) + " " + noise]
     assert {d for d, _ in found(spark, docs, [(1, " ".join(p))])} == {2, 3}
+
+
+def test_standing_opening_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(leak, "BLOCK_ITEMS", 1)
+    head = " ".join(passage(9, 40)) + ". "
+    items = [(i, head + " ".join(passage(i + 50, 30))) for i in range(3)]
+    assert found(spark, [head + " ".join(passage(99, 60))], items) == {}

@@ -9,6 +9,7 @@ running order."""
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import unicodedata
@@ -101,21 +102,35 @@ def seed_hashes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def _opening(text: str) -> tuple[str, ...]:
+    parts = _SENTENCE.split(text.strip(), maxsplit=1)
+    return tuple(tokens(parts[0])) if len(parts) > 1 else ()
+
+
+def standing(items: Iterator[tuple[int, str]]) -> set[bytes]:
+    """Digests of the opening sentences that several passages share."""
+    once: set[bytes] = set()
+    more: set[bytes] = set()
+    for _, text in items:
+        if head := _opening(text):
+            (more if (d := _digest(head)) in once else once).add(d)
+    return more
+
+
+def _digest(head: tuple[str, ...]) -> bytes:
+    return hashlib.blake2b(" ".join(head).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 class Index:
-    """The seeds of a block of passages."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        first: dict[tuple, int] = {}
-        cut = []
-        for item, text in items:
-            parts = _SENTENCE.split(text.strip(), maxsplit=1)
-            head = tuple(tokens(parts[0])) if len(parts) > 1 else ()
-            first[head] = first.get(head, 0) + 1
-            cut.append((item, head, tokens(text)))
+    """The seeds of a block of passages; shared: the standing openings of all passages, else those of the block."""
+
+    def __init__(self, items: list[tuple[int, str]], shared: set[bytes] | None = None):
+        shared = standing(iter(items)) if shared is None else shared
+        cut = [(item, _opening(text), tokens(text)) for item, text in items]
         self.vocab: dict[str, int] = {}
         self.items, self.code, self.wide = [], [], []
         for item, head, t in cut:
-            if head and first[head] > 1:  # a standing opening is not the passage's own
+            if head and _digest(head) in shared:  # a standing opening is not the passage's own
                 t = t[len(head) :]
             self.items.append(item)
             self.code.append(np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in t], dtype=np.int32))
@@ -367,8 +382,9 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     spark, out = ship(docs.sparkSession), None
     sel = docs.select(docs[doc_id].cast("bigint").alias(doc_id), text)
     known = items.select(item_id, passage).where(items[passage].isNotNull()).distinct().orderBy(item_id, passage)
+    shared = standing((r[0], r[1]) for r in known.toLocalIterator())
     for block in _blocks((r[0], r[1]) for r in known.toLocalIterator()):
-        sent = spark.sparkContext.broadcast(Index(block))
+        sent = spark.sparkContext.broadcast(Index(block, shared))
         part = sel.mapInArrow(lambda it, sent=sent: _scan(it, sent.value, s), f"{doc_id} bigint, {item_id} bigint, share double")
         out = part if out is None else out.unionByName(part)
     return out
