@@ -112,3 +112,16 @@ def test_hot_row(spark):
     store = cf.BucketedState(spark, fresh_dir(spark, "t"), FIELDS)
     store.apply(cf.parse_messages(rows, FIELDS))
     assert [tuple(r) for r in store.current().collect()] == [("comment", 1, "t", "19999", 19999)]
+
+
+def test_the_query_merges_into_touched_buckets(spark, monkeypatch):
+    """The feed of p4 goes through the merge, with the result of one batch."""
+    from tidemill.plans import problems
+
+    merged, plain = [], cf.BucketedState._merged
+    monkeypatch.setattr(cf.BucketedState, "_merged", lambda self, base, delta: merged.append(1) or plain(self, base, delta))
+    sf = "/root/testdata/sf0.001"
+    store = problems.feed_state(spark, sf)
+    one = cf.BucketedState(spark, fresh_dir(spark, "t"), problems.FEED_FIELDS)
+    one.apply(cf.parse_messages(problems.table(spark, sf, "cdc_to_iceberg"), problems.FEED_FIELDS))
+    assert merged and sorted(map(str, store.current().collect())) == sorted(map(str, one.current().collect()))

@@ -50,10 +50,13 @@ def p3_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_state(spark: SparkSession, sf_dir: str) -> change_feed.BucketedState:
-    """The feed applied to an empty bucketed store in the shared folder."""
+    """The feed in a bucketed store in the shared folder: the snapshot rows as base, the other messages merged into its buckets."""
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     store = change_feed.BucketedState(spark, fresh_dir(spark, "feed"), FEED_FIELDS, buckets)
-    store.apply(change_feed.parse_messages(table(spark, sf_dir, "cdc_to_iceberg"), FEED_FIELDS))
+    feed = table(spark, sf_dir, "cdc_to_iceberg")
+    snapshot = F.col("op").eqNullSafe("r")
+    for part in (feed.where(snapshot), feed.where(~snapshot)):
+        store.apply(change_feed.parse_messages(part, FEED_FIELDS))
     return store
 
 
