@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 
@@ -132,10 +133,10 @@ def test_bound_of_seeds_keeps_the_tail(monkeypatch):
     rng = random.Random(4)
     items = [(i, " ".join(f"word{rng.randint(1, 600)}" for _ in range(63))) for i in range(300)]
     docs = [" ".join(f"other{rng.randint(1, 10**6)}" if rng.random() < 0.43 else x for x in p.split()) for _, p in items]
-    batch, index = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(docs)], ["id", "text"]), leak.Index(items)
-    scan = lambda: sum(x.num_rows for x in leak._scan(iter([batch]), index, leak.Settings()))
+    batch, index = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(docs)], ["id", "text"]), leak.Index([(*x, False) for x in items])
+    scan = lambda: sum(x.num_rows for x in leak._scan(iter([batch]), [SimpleNamespace(value=index)], leak.Settings(), pa.int64()))
     got = scan()
-    for name, value in (("SEEDS", 1), ("SEEDS_PER_TOKEN", 0), ("TOUCHED", 0)):
+    for name, value in (("SEEDS", 1), ("SEEDS_PER_TOKEN", 0), ("EQUAL", 0)):
         monkeypatch.setattr(leak, name, value, raising=False)
     assert got >= 0.99 * scan() > 0
 
@@ -153,3 +154,72 @@ def test_standing_opening_across_blocks(spark, monkeypatch):
     head = " ".join(passage(9, 40)) + ". "
     items = [(i, head + " ".join(passage(i + 50, 30))) for i in range(3)]
     assert found(spark, [head + " ".join(passage(99, 60))], items) == {}
+
+
+def changed(kind, p, rng):
+    """A passage with every n-th, or a share of its words at random, changed."""
+    hit = (lambda k: k % kind == kind - 1) if isinstance(kind, int) else (lambda k: rng.random() < kind)
+    return [f"other{rng.randint(1, 10**6)}" if hit(k) else w for k, w in enumerate(p)]
+
+
+@pytest.mark.parametrize("kind", [2, 3, 4, 5, 6, 7, 8, 0.3, 0.4, 0.45])
+def test_no_regular_or_random_minority_blinds(kind):
+    """Whole passages of 63 to 180 words, none of whose own words repeat much."""
+    rng = random.Random(str(kind))
+    items = [(i, " ".join(f"word{rng.randint(1, 2000)}" for _ in range(rng.randint(63, 180)))) for i in range(120)]
+    docs = [" ".join(changed(kind, p.split(), rng)) for _, p in items]
+    assert len(pairs(docs, items)) >= 114
+
+
+@pytest.mark.parametrize("kind", [2, 3, 4, 5, 6, 7, 8, 0.3])
+def test_ideographs_regularly_changed(kind):
+    rng = random.Random(str(kind))
+    items = [(i, "".join(chr(rng.randint(0x4E00, 0x52FF)) for _ in range(rng.randint(120, 200)))) for i in range(60)]
+    hit = (lambda k: k % kind == kind - 1) if isinstance(kind, int) else (lambda k: rng.random() < kind)
+    docs = ["".join(chr(rng.randint(0x6000, 0x8000)) if hit(k) else c for k, c in enumerate(p)) for _, p in items]
+    assert len(pairs(docs, items)) >= 57
+
+
+def pairs(docs, items):
+    """(document, item) of documents and items numbered alike, without Spark; none of different numbers."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array(docs)], ["id", "text"])
+    out = [r for x in leak._scan(iter([batch]), [SimpleNamespace(value=leak.Index([(*x, False) for x in items]))], leak.Settings(), pa.int64()) for r in x.to_pylist()]
+    assert all(r["id"] == r["item"] for r in out)
+    return {r["id"] for r in out}
+
+
+def test_less_than_half_verbatim_is_no_case():
+    rng = random.Random(8)
+    items = [(i, " ".join(f"word{rng.randint(1, 2000)}" for _ in range(100))) for i in range(60)]
+    assert not pairs([" ".join(p.split()[:48]) + f" . {i} and so on" for i, p in items], items)
+    assert len(pairs([f"as {i} before " + " ".join(p.split()[50:]) for i, p in items], items)) == 60
+
+
+def test_same_rows_whatever_the_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    head = " ".join(passage(9, 20)) + ". "
+    items = [(i, (head if i % 3 == 0 else "") + " ".join(passage(i, 70))) for i in range(9)]
+    docs = [" ".join(changed(0.3, t.split(), rng)) for _, t in items] + [head + " ".join(passage(77, 70))]
+    want = found(spark, docs, items)
+    assert {i for _, i in want} == set(range(9)) and not [d for d, _ in want if d == 9]
+    for n in (1, 2, 20_000):
+        monkeypatch.setattr(leak, "BLOCK_ITEMS", n)
+        assert found(spark, docs, items) == want
+
+
+def test_ids_of_any_type_and_long_tags(spark):
+    p = passage(4)
+    d = spark.createDataFrame([("a/1", "<p title='" + "x " * 400 + "'>" + " ".join(p)), (None, "<a" + " ".join(p))], "doc string, text string")
+    i = spark.createDataFrame([("q-1", " ".join(p))], "item string, passage string")
+    assert {(r.doc, r.item) for r in leak.leaks(d, "doc", "text", i, "item", "passage").collect()} == {("a/1", "q-1"), (None, "q-1")}
+    with pytest.raises(ValueError):
+        leak.leaks(d, "doc", "text", i.withColumnRenamed("item", "doc"), "doc", "passage")
+
+
+@pytest.mark.parametrize("a, b", [("STRASSE", "Straße"), ("ﬁne ½", "FINE 1 2"), ("e\u0301tude", "étude"), ("ＡＢＣ", "abc"), ("wo<b>rd</b>", "word"), ("Caf&eacute;", "cafe"), ("a\u200bb", "ab"), ("\u1112\u1161\u11ab", "한"), ("한글", "한글"), ("نَص", "نص")])
+def test_forms_of_words(a, b):
+    (x, _, at), (y, _, bt) = leak.tokens([a, None, ""]), leak.tokens([b, None, ""])
+    assert x.tolist() == y.tolist() and len(x) and at.tolist() == [0, len(x), len(x), len(x)]
+
