@@ -1,6 +1,7 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from tidemill.llm import pack
@@ -28,10 +29,43 @@ def test_search_empties_bins():
     assert whole(out, 8) and len(out) < len(bad) and all(sum(size[i] for i in b) <= 10 for b in out)
 
 
-def test_steps_raise_squared_fill():
-    size, room = [7, 4, 3, 5, 2], 3
-    out, back = pack._step([0, 1], [2, 3, 4], size, room)
-    assert 0 < sum(size[i] for i in out) - sum(size[i] for i in back) <= room
+@pytest.mark.parametrize("seed", range(6))
+def test_steps_raise_squared_fill(seed):
+    """Every step is possible, carries tokens to a bin at least as full, and is the one that carries most."""
+    rng = random.Random(seed)
+    size = np.array([rng.randint(0, 60) for _ in range(60)])
+    s = pack._Bins(pack.best_fit(size.tolist(), 100), size, 100)
+    s.fill = np.bincount(s.where, weights=size, minlength=len(s.fill)).astype(int)
+    s.items, steps = s.reach(), 0
+    giver = int(np.argmin(s.fill))
+    while s.fill[giver] and (x := s.step(giver)):
+        out, back, taker = x
+        before, d = (s.fill**2).sum(), size[out].sum() - size[back].sum()
+        room = 100 - s.fill[taker]
+        assert 0 < d <= room and set(s.where[out]) == {giver} and set(s.where[back]) <= {taker} and s.fill[taker] >= s.fill[giver]
+        every = [size[i] - size[j] for i in range(60) for j in range(60) if s.where[i] == giver and size[i] and s.where[j] != giver and size[j] and s.fill[giver] <= s.fill[s.where[j]] < 100 and size[i] - size[j] <= 100 - s.fill[s.where[j]]]
+        assert d >= max(every, default=0)
+        s.carry(giver, *x)
+        assert (s.fill == np.bincount(s.where, weights=size, minlength=len(s.fill))).all() and (s.fill**2).sum() > before and s.items.tolist() == s.reach().tolist()
+        steps += 1
+    assert steps
+
+
+def test_search_saves_bins_that_best_fit_needs():
+    rng = random.Random(1)
+    size = [rng.randint(500, 1100) for _ in range(3000)]
+    first = pack.best_fit(size, 2048)
+    out = pack.pack_group(size, 2048)
+    assert whole(out, 3000) and all(sum(size[i] for i in b) <= 2048 for b in out)
+    assert len(out) <= len(pack.best_fit(size, 2048, largest_first=True)) - 30 and len(out) <= 0.95 * len(first)
+
+
+def test_many_empty_texts_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1000).select("id", F.lit("").alias("t"))
+    out = pack.pack(df, "id", "t", group_rows=100)
+    assert out.count() == 1000 and 5 <= out.select("container").distinct().count() <= 20
 
 
 def test_degenerate_groups():

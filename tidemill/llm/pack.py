@@ -1,9 +1,9 @@
 """Filling containers of fixed capacity with texts sized in tokens, by local search.
 
 Texts are sized with a public tokenizer and cut only if they exceed a container by themselves.
-Items are dealt to groups of bounded size; each group is packed best-fit and then improved by
-moving and exchanging items (one for one, two for one) between underfull bins, every step of
-which raises the sum of squared fills, until bins run empty. The bins that are still underfull
+Items are dealt to groups of bounded size; each group is first packed in the order its items come and then
+improved by moving and exchanging items (one for one, two for one, one for two) between underfull bins, every
+step of which raises the sum of squared fills, until bins run empty. The bins that are still underfull
 are emptied into fewer, new groups and packed again."""
 
 from __future__ import annotations
@@ -92,12 +92,12 @@ def sizes(df: DataFrame, ident: str, text: str, capacity: int = CAPACITY, vocabu
 # --- packing one group -------------------------------------------------------------------
 
 
-def best_fit(size: list[int], capacity: int) -> list[list[int]]:
-    """Bins of item numbers: largest first, each into the fullest bin that has room."""
+def best_fit(size: list[int], capacity: int, largest_first: bool = False) -> list[list[int]]:
+    """Bins of item numbers: in the order given, or largest first, each into the fullest bin that has room."""
     by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
     rooms: list[int] = []  # sorted rooms that some bin has
     bins: list[list[int]] = []
-    for i in sorted(range(len(size)), key=lambda i: -size[i]):
+    for i in sorted(range(len(size)), key=lambda i: -size[i]) if largest_first else range(len(size)):
         k = bisect.bisect_left(rooms, size[i])
         if k < len(rooms):
             room = rooms[k]
@@ -115,60 +115,130 @@ def best_fit(size: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], size: list[int], capacity: int, reach: int = 256) -> list[list[int]]:
-    """Swap-based local search between underfull bins.
+class _Bins:
+    """The items of underfull bins in arrays that follow every exchange."""
+
+    def __init__(self, bins: list[list[int]], size: np.ndarray, capacity: int):
+        self.size, self.capacity = size, capacity
+        self.where = np.zeros(len(size), np.int64)
+        for b, items in enumerate(bins):
+            self.where[items] = b
+        self.fill = np.bincount(self.where, weights=size, minlength=len(bins)).astype(np.int64)
+        #: Items that may come back or stand beside one: of bins that are neither full nor given up, sorted by bin and size.
+        self.items = np.zeros(0, np.int64)
+
+    def reach(self) -> np.ndarray:
+        live = self.fill[self.where] < self.capacity
+        items = np.flatnonzero(live & (self.size > 0))
+        return items[np.lexsort((self.size[items], self.where[items]))]
+
+    def step(self, giver: int) -> tuple[list[int], list[int], int] | None:
+        """(items out, items back, taker) of the exchange that carries most tokens from the giver to a bin at least as full."""
+        mine = np.flatnonzero((self.where == giver) & (self.size > 0))
+        fill, room = self.fill, self.capacity - self.fill
+        takers = np.flatnonzero((fill >= fill[giver]) & (room > 0) & (fill > 0))
+        takers = takers[takers != giver]
+        if not len(takers) or not len(mine):
+            return None
+        mine = mine[np.argsort(self.size[mine], kind="stable")]
+        own = self.size[mine]
+        best, most = None, 0
+        k = int(np.searchsorted(own, room[takers].max(), "right")) - 1
+        if k >= 0:  # a move, into the fullest bin with room for it
+            fits = takers[room[takers] >= own[k]]
+            best, most = ([int(mine[k])], [], int(fits[np.argmin(room[fits])])), int(own[k])
+        ok = np.zeros(len(fill), bool)
+        ok[takers] = True
+        theirs = self.items[ok[self.where[self.items]]]
+        if not len(theirs):
+            return best
+        back, free = self.size[theirs], room[self.where[theirs]]
+
+        def exchange(sums: np.ndarray) -> tuple[int, int, int] | None:
+            """(number of a sum, of an item that comes back, tokens carried) of the sums of what goes out, sorted."""
+            at = np.searchsorted(sums, back + free, "right") - 1
+            gain = np.where(at >= 0, sums[np.maximum(at, 0)] - back, 0)
+            j = int(np.argmax(gain))
+            return (int(at[j]), j, int(gain[j])) if gain[j] > 0 else None
+
+        if (x := exchange(own)) and x[2] > most:
+            best, most = ([int(mine[x[0]])], [int(theirs[x[1]])], int(self.where[theirs[x[1]]])), x[2]
+        if len(mine) > 1:
+            a, b = np.triu_indices(len(mine), 1)
+            sums = own[a] + own[b]
+            o = np.argsort(sums, kind="stable")
+            if (x := exchange(sums[o])) and x[2] > most:
+                best, most = ([int(mine[a[o[x[0]]]]), int(mine[b[o[x[0]]]])], [int(theirs[x[1]])], int(self.where[theirs[x[1]]])), x[2]
+        if best:
+            return best
+        # one for two of the same bin: to each the smallest partner with which enough comes back
+        line = self.where[theirs] * (self.capacity + 1)
+        key = line + back
+        for i, w in zip(mine.tolist(), own.tolist()):
+            k = np.searchsorted(key, line + np.clip(w - free - back, 0, self.capacity))
+            k += k == np.arange(len(theirs))
+            k = np.minimum(k, len(theirs) - 1)
+            gain = w - back - back[k]
+            gain[(line[k] != line) | (k == np.arange(len(theirs))) | (gain > free)] = 0
+            j = int(np.argmax(gain))
+            if gain[j] > most:
+                best, most = ([i], [int(theirs[j]), int(theirs[k[j]])], int(self.where[theirs[j]])), int(gain[j])
+        return best
 
-    The emptiest bin gives: an item moves to a fuller bin with room for it, or is exchanged for
-    one or two smaller items of it, or two of its items for one. Each step carries d > 0 tokens
-    from a bin of fill f to one of fill g >= f and so adds 2d(g - f + d) to the sum of squared
-    fills. A bin that runs empty is gone; one that can give no more is left. ``reach`` bounds the
-    bins looked at per step; all items stay placed."""
-    fill = [sum(size[i] for i in b) for b in bins]
-    order = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: fill[b])
-    if sum(capacity - fill[b] for b in order) < capacity:
-        return bins  # no bin could be saved: the free space of all is less than one
-    for n, giver in enumerate(order):
-        stuck = False
-        while bins[giver] and not stuck:
-            stuck = True
-            takers = [t for t in order[n + 1 :][-reach:] if fill[giver] <= fill[t] < capacity and t != giver]
-            takers.sort(key=lambda t: -fill[t])
-            for t in takers:
-                step = _step(bins[giver], bins[t], size, capacity - fill[t])
-                if step:
-                    out, back = step
-                    d = sum(size[i] for i in out) - sum(size[i] for i in back)
-                    bins[giver] = [i for i in bins[giver] if i not in out] + back
-                    bins[t] = [i for i in bins[t] if i not in back] + out
-                    fill[giver], fill[t], stuck = fill[giver] - d, fill[t] + d, False
-                    break
-    return [b for b in bins if b]
+    def carry(self, giver: int, out: list[int], back: list[int], taker: int) -> None:
+        d = int(self.size[out].sum() - self.size[back].sum())
+        self.where[out], self.where[back] = taker, giver
+        self.fill[giver] -= d
+        self.fill[taker] += d
+        rows = self.items[(self.where[self.items] != giver) & (self.where[self.items] != taker)]
+        new = np.flatnonzero(((self.where == giver) | (self.where == taker)) & (self.fill[self.where] < self.capacity) & (self.size > 0))
+        rows = np.concatenate([rows, new])
+        self.items = rows[np.lexsort((self.size[rows], self.where[rows]))]
 
 
-def _step(a: list[int], b: list[int], size: list[int], room: int) -> tuple[list[int], list[int]] | None:
-    """The exchange that carries most tokens from a to b within b's room."""
-    best, most = None, 0
-    for i in a:
-        if most < size[i] <= room:
-            best, most = ([i], []), size[i]
-    if most == room:
-        return best
-    mine, theirs = sorted(a, key=lambda i: size[i]), sorted(b, key=lambda i: size[i])
-    s_theirs = [size[i] for i in theirs]
-    pairs = [(size[x] + size[y], [x, y]) for k, x in enumerate(mine[:24]) for y in mine[k + 1 : 24]]
-    for weight, out in [*((size[i], [i]) for i in mine), *pairs]:
-        k = bisect.bisect_left(s_theirs, weight - room)  # smallest that may come back
-        if k < len(theirs) and most < weight - s_theirs[k] <= room:
-            best, most = (out, [theirs[k]]), weight - s_theirs[k]
-        if len(out) == 1:
-            for x in range(min(len(theirs), 24)):  # two come back for one
-                k = bisect.bisect_left(s_theirs, weight - room - s_theirs[x], x + 1)
-                if k < len(theirs) and most < weight - s_theirs[x] - s_theirs[k] <= room:
-                    best, most = (out, [theirs[x], theirs[k]]), weight - s_theirs[x] - s_theirs[k]
-    return best
+def improve(bins: list[list[int]], size: list[int], capacity: int) -> list[list[int]]:
+    """Swap-based local search between underfull bins.
+
+    The emptiest bin gives: an item moves to another bin with room for it, or is exchanged for one or two smaller items of a bin, or
+    two of its items for one; all items of all underfull bins are in reach. Each step carries as many tokens as it can, d > 0, from a bin of
+    fill f to one of fill g >= f and so adds 2d(g - f + d) to the sum of squared fills, for which reason the search ends.
+    A bin that runs empty is gone; one that can give no more is left until others have changed. All items stay placed. It
+    also ends when what is free in all bins together is less than one bin, since then none can be saved."""
+    sizes = np.asarray(size, dtype=np.int64)
+    if len(bins) < 2:
+        return bins
+    s = _Bins(bins, sizes, capacity)
+    s.items = s.reach()
+    for moved in iter(lambda: _round(s), 0):
+        del moved
+    out: dict[int, list[int]] = {}
+    for i, b in enumerate(s.where.tolist()):
+        if s.fill[b] or not sizes[i]:
+            out.setdefault(b, []).append(i)
+    left = [i for b, items in out.items() if not s.fill[b] for i in items]  # items of no size stay with others
+    full = [items for b, items in out.items() if s.fill[b]]
+    if left:
+        full[:1] = [[*full[0], *left]] if full else [left]
+    return full
+
+
+def _round(s: _Bins) -> int:
+    """Every underfull bin gives once, the emptiest first; the number of bins emptied."""
+    emptied = 0
+    for giver in np.argsort(s.fill, kind="stable").tolist():
+        used = s.fill > 0
+        if s.fill[giver] >= s.capacity or int((s.capacity - s.fill[used]).sum()) < s.capacity:
+            break
+        if not s.fill[giver]:
+            continue
+        while s.fill[giver] and (x := s.step(giver)):
+            s.carry(giver, *x)
+        emptied += not s.fill[giver]
+    return emptied
 
 
 def pack_group(size: list[int], capacity: int) -> list[list[int]]:
+    """Best fit in the order given, then the search."""
     return improve(best_fit(size, capacity), size, capacity)
 
 
@@ -180,7 +250,7 @@ def _packed(items: DataFrame, group: str, label: str, capacity: int) -> DataFram
     keep = [c for c in items.columns if c != group]
 
     def f(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(["_id", "piece"], kind="stable").reset_index(drop=True)
+        t = t.sort_values("_n", kind="stable").reset_index(drop=True)
         size = t["tokens"].astype(int).tolist()
         where, fill = np.empty(len(t), dtype=object), np.zeros(len(t), dtype=int)
         for n, b in enumerate(pack_group(size, capacity)):
@@ -191,28 +261,29 @@ def _packed(items: DataFrame, group: str, label: str, capacity: int) -> DataFram
     return items.groupBy(group).applyInPandas(f, schema + ", container string, fill int")
 
 
-def pack(df: DataFrame, ident: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, group_bins: int = 1024) -> DataFrame:
+def pack(df: DataFrame, ident: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, group_bins: int = 1024, group_rows: int = 32_768) -> DataFrame:
     """(ident, piece, begin, end, tokens, container, fill): every text, or every piece of one
     that exceeds the capacity by itself, in a container.
 
     fill is the container's sum of tokens, at most the capacity. begin and end are positions in
     the text. An empty text takes no room but has a container; a null text has one row without
     container. Rows that repeat an ident are items of their own. An empty table gives none.
-    A group holds about ``group_bins`` containers' worth of tokens, by hash; what its last bins
-    waste is packed again with that of other groups."""
+    A group holds about ``group_bins`` containers' worth of tokens, at most about ``group_rows`` items, by hash of a number
+    that is stored with the item; what its last bins waste is packed again with that of other groups."""
     base = df.select(F.col(ident).alias("_id"), F.col(text).alias("_text"))
-    items = written(sizes(base, "_id", "_text", capacity, vocabulary), "pack-sizes")
-    total = items.agg(F.sum("tokens").alias("n")).first().n or 0
+    items = written(sizes(base, "_id", "_text", capacity, vocabulary).withColumn("_n", F.monotonically_increasing_id()), "pack-sizes")
     per = group_bins * capacity
-    # items of a third of all rows under one ident still spread, since the piece's place counts
-    deal = lambda d, n: d.withColumn("_group", F.pmod(F.xxhash64("_id", "piece", "begin", F.monotonically_increasing_id()), F.lit(max(1, -(-n // per)))))
-    first = written(_packed(deal(items, total), "_group", "a", capacity), "pack-first")
+
+    def groups(d: DataFrame) -> DataFrame:
+        n = d.agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
+        return d.withColumn("_group", F.pmod(F.xxhash64("_n"), F.lit(max(1, -(-(n.tokens or 0) // per), -(-n.rows // group_rows)))))
+
+    first = written(_packed(groups(items), "_group", "a", capacity), "pack-first")
     # about one bin of each group stays underfull; whole bins go on, so none is taken apart in vain
     loose = F.col("fill") < F.lit(int(0.97 * capacity))
-    left = first.where(loose).agg(F.sum("tokens").alias("n")).first().n or 0
-    again = _packed(deal(first.where(loose).drop("container", "fill"), left), "_group", "b", capacity)
+    again = _packed(groups(first.where(loose).drop("container", "fill")), "_group", "b", capacity)
     none = base.where("_text IS NULL").select("_id", *[F.lit(None).cast(t).alias(c) for c, t in (("piece", "int"), ("begin", "int"), ("end", "int"), ("tokens", "int"), ("container", "string"), ("fill", "int"))])
-    out = first.where(~loose).unionByName(again).unionByName(none)
+    out = first.where(~loose).unionByName(again).drop("_n").unionByName(none)
     return out.withColumnRenamed("_id", ident)
 
 
