@@ -103,3 +103,50 @@ def test_pairs(spark):
     df = spark.createDataFrame([("t", i, [float(z) for z in v]) for i, v in vecs.items()], "tenant string, vid string, e array<float>")
     got = {tuple(r) for r in nb.neighbour_pairs(nb.nearest(df, "tenant", "vid", "e", nb.Settings(dim=8, k=2))).collect()}
     assert got == {(min(a, b), max(a, b)) for a, bs in brute(vecs, 2).items() for b in bs}
+
+
+def recall_of(spark, vecs, s, queries):
+    """Share of the true neighbours of some vectors that ``nearest`` gives."""
+    got = found(spark, vecs, s)
+    assert set(got) == set(vecs)
+    names = sorted(vecs)
+    x = nb.unit(np.stack([vecs[i] for i in names]))
+    at = {i: n for n, i in enumerate(names)}
+    rng = np.random.default_rng(5)
+    hit = []
+    for n in rng.choice(len(names), queries, replace=False):
+        c = x @ x[n]
+        c[n] = -2
+        best = np.argpartition(-c, s.k)[: s.k]
+        hit.append(np.mean([c[at[i]] >= c[best].min() - 1e-6 for i in got[names[n]]]))
+    return float(np.mean(hit))
+
+
+@pytest.mark.parametrize("parts", [20, 100, 400])
+def test_recall_with_many_parts(spark, parts):
+    vecs = data(8000, 16, parts)
+    s = nb.Settings(dim=16, k=5, cell_rows=8000 // parts, part_sample=40)
+    assert recall_of(spark, vecs, s, 1000) >= 0.95
+
+
+def test_more_parts_are_searched_where_they_are_needed():
+    rng = np.random.default_rng(2)
+    loose = rng.normal(size=(3000, 32)).astype(np.float32)
+    tight = (rng.normal(size=(60, 32))[rng.integers(60, size=3000)] + 0.1 * rng.normal(size=(3000, 32))).astype(np.float32)
+    few, many = (nb.fit_group(x, 9000, nb.Settings(dim=32, cell_rows=200))[1] for x in (tight, loose))
+    assert few < many <= 12
+
+
+def test_routes_by_join_like_by_broadcast(spark, monkeypatch):
+    s, vecs = nb.Settings(dim=16, k=5, cell_rows=100, probes=2), data(900, 16, 4) | {f"same{i}": np.ones(16, np.float32) for i in range(300)}
+    want = found(spark, vecs, s)
+    monkeypatch.setattr(nb, "MODEL_BYTES", 0)
+    monkeypatch.setattr(nb, "ROUTE_ROWS", 250)
+    assert found(spark, vecs, s) == want
+
+
+def test_equal_vectors_kept_by_id():
+    x = np.array([[1.0, 2], [1, 2], [3, 4], [1, 2], [1, 2]], np.float32)
+    ids, g = np.array(["d", "a", "x", "c", "b"]), np.zeros(5, int)
+    assert nb._kept(g, ids, x, 1).tolist() == [False, True, True, False, True]
+    assert nb._kept(np.arange(5), ids, x, 0).all()

@@ -1,14 +1,14 @@
 """The k most similar vectors of every vector, within a group, by learned partitions.
 
-A bounded sample of each large group gives a neighbour graph; the graph is cut into balanced
+A bounded sample of each group gives a neighbour graph; the graph is cut into balanced
 parts; a softmax classifier learns the parts from the vectors. Every row is indexed in the part
 the classifier finds most probable and, as a query, sent to the few most probable ones, where
-the candidates are ranked again by exact cosine. Groups of at most ``cell_rows`` vectors are one
-part. Cells that come out large are split into blocks, which all their queries visit."""
+the candidates are ranked again by exact cosine. How many are searched is chosen per group by the recall of
+sampled vectors that the classifier has not seen. Groups of at most ``cell_rows`` vectors are one
+part. Cells that will be large, by the sample, are split into blocks, which all their queries visit."""
 
 from __future__ import annotations
 
-import bisect
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,27 +18,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.session import ship
+from tidemill.session import ship, written
 
-#: Bytes of classifiers sent to every executor at once; groups beyond it are handled in further passes.
+#: Most bytes of classifiers that are sent to every executor; more are stored and joined to the rows by group.
 MODEL_BYTES = 256 << 20
+#: Rows that meet their group's classifier in one task then, and bytes that a task of the search is to read.
+ROUTE_ROWS, TASK_BYTES = 65_536, 64 << 20
 
 
 @dataclass(frozen=True)
 class Settings:
-    """dim: length of a usable vector. cell_rows: aimed size of a part. probes: parts searched
-    per query. sample_rows: most vectors of a group that the classifier is fitted on (a hash
-    sample). max_parts: most parts of a group. block_rows: most rows of a block."""
+    """dim: length of a usable vector. cell_rows: aimed size of a part. probes, max_probes: fewest and most parts searched
+    per query; between them as many as a held-out recall of ``recall`` takes. part_sample, sample_rows: vectors per part, and most of a
+    group, that the classifier is fitted on (a hash sample); every row is indexed. max_parts: most parts of a group, whose parts grow
+    beyond cell_rows then. block_rows: aimed rows of a block."""
 
     k: int = 5
     dim: int = 512
-    cell_rows: int = 4096
+    cell_rows: int = 256
     probes: int = 3
-    sample_rows: int = 4096
+    max_probes: int = 12
+    recall: float = 0.99
+    part_sample: int = 64
+    sample_rows: int = 16_384
     max_parts: int = 1024
     block_rows: int = 8192
     graph_k: int = 10
 
+    def parts(self, rows: int) -> int:
+        return max(1, min(-(-rows // self.cell_rows), self.max_parts))
+
 
 def unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
@@ -104,32 +113,45 @@ def balanced_parts(graph: np.ndarray, parts: int, rounds: int = 8, slack: float
     return label
 
 
-def fit_router(x: np.ndarray, label: np.ndarray, graph: np.ndarray, parts: int, steps: int = 150) -> np.ndarray:
+def fit_router(x: np.ndarray, label: np.ndarray, graph: np.ndarray, parts: int, steps: int = 120, batch: int = 2048) -> np.ndarray:
     """(dim + 1, parts) weights of a softmax classifier of the parts of a vector and its neighbours."""
-    target = np.zeros((len(x), parts), dtype=np.float32)
-    rows = np.arange(len(x))
-    np.add.at(target, (rows, label), float(graph.shape[1]))
-    for j in range(graph.shape[1]):
-        np.add.at(target, (rows, label[graph[:, j]]), 1.0)
-    target /= target.sum(1, keepdims=True)
+    rng = np.random.default_rng(len(x))
     z = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w = np.zeros((z.shape[1], parts), np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, steps + 1):  # Adam over the whole sample
-        s = z @ w
+    order, at = rng.permutation(len(x)), 0
+    for t in range(1, steps + 1):  # Adam, over shares of the sample
+        if at >= len(x):
+            order, at = rng.permutation(len(x)), 0
+        rows = order[at : at + batch]
+        at += batch
+        target = np.zeros((len(rows), parts), np.float32)
+        np.add.at(target, (np.arange(len(rows)), label[rows]), float(graph.shape[1]))
+        np.add.at(target, (np.arange(len(rows))[:, None], label[graph[rows]]), 1.0)
+        target /= target.sum(1, keepdims=True)
+        s = z[rows] @ w
         s = np.exp(s - s.max(1, keepdims=True))
-        g = z.T @ (s / s.sum(1, keepdims=True) - target) / len(x) + 1e-5 * w
+        g = z[rows].T @ (s / s.sum(1, keepdims=True) - target) / len(rows) + 1e-5 * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w
 
 
-def fit_group(x: np.ndarray, n_rows: int, s: Settings) -> np.ndarray:
-    """Router of one group from a sample of its vectors."""
-    parts = max(2, min(-(-n_rows // s.cell_rows), s.max_parts, len(x) // 8))
+def fit_group(x: np.ndarray, n_rows: int, s: Settings) -> tuple[np.ndarray, int, np.ndarray]:
+    """(router, parts to search, share of the rows in every part) of one group from a sample of its vectors, in random order."""
+    parts = max(2, min(s.parts(n_rows), len(x) // 8))
     x = unit(x)
-    graph = neighbour_graph(x, s.graph_k)
-    return fit_router(x, balanced_parts(graph, parts), graph, parts)
+    held = min(len(x) // 8, 1024)
+    new, own = x[:held], x[held:]
+    graph = neighbour_graph(own, s.graph_k)
+    w = fit_router(own, balanced_parts(graph, parts), graph, parts)
+    k = min(s.k, len(own))
+    near = np.argpartition(-(new @ own.T), k - 1, axis=1)[:, :k]
+    order, cell = _probes(new, w, s.max_probes), _probes(x, w, 1)[:, 0]
+    place = (order[:, None, :] == cell[held:][near][:, :, None]).argmax(2) + ~(order[:, None, :] == cell[held:][near][:, :, None]).any(2) * s.max_probes
+    recall = [(place < p).mean() for p in range(1, order.shape[1] + 1)]
+    probes = next((p for p, r in enumerate(recall, 1) if p >= s.probes and r >= s.recall), s.max_probes)
+    return w, min(probes, parts), np.bincount(cell, minlength=parts) / len(cell)
 
 
 # --- rows as arrays ----------------------------------------------------------------------
@@ -152,6 +174,18 @@ def _hash(ids: list[str], salt: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(i, seed=salt) for i in ids], dtype=np.uint64)
 
 
+def _kept(group: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be neighbours: of equal vectors of a group only the k + 1 with the smallest ids, since with
+    equal similarity later ones are nobody's."""
+    key = (x.view(np.uint32).astype(np.uint64) * np.random.default_rng(7).integers(1, 2**63, size=x.shape[1], dtype=np.uint64)).sum(1)
+    _, first, code = np.unique(key ^ group.astype(np.uint64), return_index=True, return_inverse=True)
+    same = (x == x[first[code]]).all(1) & (group == group[first[code]])  # different ones with one key are kept
+    order = np.lexsort((ids, code))
+    rank = np.empty(len(x), np.int64)
+    rank[order] = np.arange(len(x)) - np.searchsorted(code[order], code[order])
+    return ~same | (rank <= k)
+
+
 def pack_vectors(x: np.ndarray) -> list[bytes]:
     """Rows of float32, without loss: as float16 where that holds them exactly, their bytes in
     planes (all first bytes, all second, ...), compressed."""
@@ -206,61 +240,64 @@ def _probes(x: np.ndarray, model: np.ndarray | None, probes: int) -> np.ndarray:
     return np.argsort(-score, axis=1, kind="stable")[:, :probes]
 
 
-def _routed(batches: Iterator[pa.RecordBatch], models: dict, skip: frozenset, blocks: dict | None, s: Settings) -> Iterator[pa.RecordBatch]:
-    """Rows (grp, cell, blocks, role[, id, vec]); without ``blocks`` only what counting needs.
+@dataclass(frozen=True)
+class Router:
+    """weights; parts to search; (base blocks, query blocks) of the parts that will be large."""
+
+    weights: np.ndarray
+    probes: int
+    blocks: dict[int, tuple[int, int]]
+
+    @staticmethod
+    def of(w: bytes, parts: int, probes: int, share: list[float], rows: int, s: Settings) -> Router:
+        blocks = {}
+        for c, x in enumerate(share):  # a query is sent to ``probes`` parts
+            if x * rows > s.block_rows:
+                blocks[c] = (-(-int(x * rows) // s.block_rows), -(-int(x * rows * probes) // (4 * s.block_rows)))
+        return Router(np.frombuffer(w, np.float32).reshape(-1, parts), probes, blocks)
+
+
+ROUTED = "grp string, cell int, bblock int, qblock int, role int, id string, vec binary"
+
+
+def _routed(b: pa.RecordBatch | pa.Table, routers: dict[str, Router], s: Settings) -> pa.RecordBatch:
+    """Rows of ROUTED of rows (grp, id, vec)."""
+    rows, x = _vectors(b.column(2), s.dim)
+    took = pa.array(rows)
+    names = np.array(b.column(0).take(took).to_pylist(), dtype=object)
+    ids = np.array(b.column(1).take(took).to_pylist(), dtype=object).astype(str)
+    found, group = np.unique(names.astype(str), return_inverse=True)
+    base = _kept(group, ids, x, s.k) if len(x) else np.zeros(0, bool)
+    pos, cell, bb, qb, role = ([np.zeros(0, np.int64)] for _ in range(5))
+    for n, g in enumerate(found.tolist()):
+        at = np.flatnonzero(group == n)
+        r = routers.get(g)
+        to = _probes(x[at], r.weights if r else None, r.probes if r else 1)
+        split = r.blocks if r else {}
+        for j in range(to.shape[1]):
+            cut = np.isin(to[:, j], list(split)) if split else np.zeros(len(at), bool)
+            pos.append(at[~cut]), cell.append(to[~cut, j]), role.append(np.where(base[at[~cut]] & (j == 0), BOTH, QUERY))
+            bb.append(np.zeros(int((~cut).sum()), int)), qb.append(np.zeros(int((~cut).sum()), int))
+            if cut.any():
+                hb, hq = _hash(ids[at[cut]].tolist(), 1), _hash(ids[at[cut]].tolist(), 2)
+                for i, c, h1, h2 in zip(at[cut], to[cut, j], hb, hq):
+                    nb, nq = split[int(c)]
+                    own, mine = int(h1 % np.uint64(nb)), int(h2 % np.uint64(nq))
+                    if j == 0 and base[i]:
+                        pos.append([i] * nq), cell.append([c] * nq), bb.append([own] * nq), qb.append(range(nq)), role.append([BASE] * nq)
+                    pos.append([i] * nb), cell.append([c] * nb), bb.append(range(nb)), qb.append([mine] * nb), role.append([QUERY] * nb)
+    p = np.concatenate([np.asarray(a, dtype=np.int64) for a in pos])
+    as_int = lambda a: pa.array(np.concatenate([np.asarray(y, dtype=np.int32) for y in a]))
+    take = pa.array(rows[p])
+    packed = np.array([*pack_vectors(x), None], dtype=object)[:-1][p]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names[p], pa.string()), as_int(cell), as_int(bb), as_int(qb), as_int(role), _plain(b.column(1)).take(take), pa.array(packed, pa.binary())],
+        ["grp", "cell", "bblock", "qblock", "role", "id", "vec"],
+    )
 
-    Of the equal vectors that this task has seen only the k + 1 with the smallest ids so far
-    become base rows: with equal similarity, later ones are nobody's neighbours."""
-    import xxhash
 
-    seen: dict[bytes, list[str]] = {}
-    for b in batches:
-        rows, x = _vectors(b.column(2), s.dim)
-        groups = np.array(b.column(0).take(pa.array(rows)).to_pylist(), dtype=object)
-        ids = np.array(b.column(1).take(pa.array(rows)).to_pylist(), dtype=object)
-        base = np.ones(len(rows), bool)
-        for i, (g, name, v) in enumerate(zip(groups, ids, x)):
-            least = seen.setdefault(xxhash.xxh3_128_digest(v.tobytes() + str(g).encode()), [])
-            if name not in least:
-                if len(least) > s.k and name > least[-1]:
-                    base[i] = False
-                else:
-                    bisect.insort(least, name)
-                    del least[s.k + 1 :]
-        pos, cell, bb, qb, role = [], [], [], [], []
-        codes: dict = {}
-        for i, g in enumerate(groups):
-            codes.setdefault(g, []).append(i)
-        for g, at in codes.items():
-            if g in skip:
-                continue
-            at = np.array(at)
-            to = _probes(x[at], models.get(g), s.probes)
-            split = (blocks or {}).get(g, {})
-            for j in range(to.shape[1]):
-                cut = np.isin(to[:, j], list(split)) if split else np.zeros(len(at), bool)
-                n = int((~cut).sum())
-                pos.append(at[~cut]), cell.append(to[~cut, j]), role.append(np.where(base[at[~cut]] & (j == 0), BOTH, QUERY))
-                bb.append(np.zeros(n, int)), qb.append(np.zeros(n, int))
-                if cut.any():
-                    names = ids[at[cut]].tolist()
-                    hb, hq = _hash(names, 1), _hash(names, 2)
-                    for i, c, h1, h2 in zip(at[cut], to[cut, j], hb, hq):
-                        nb, nq = split[int(c)]
-                        own, mine = int(h1 % np.uint64(nb)), int(h2 % np.uint64(nq))
-                        if j == 0 and base[i]:
-                            pos.append([i] * nq), cell.append([c] * nq), bb.append([own] * nq), qb.append(range(nq)), role.append([BASE] * nq)
-                        pos.append([i] * nb), cell.append([c] * nb), bb.append(range(nb)), qb.append([mine] * nb), role.append([QUERY] * nb)
-        if not pos:
-            continue
-        p = np.concatenate([np.asarray(a, dtype=np.int64) for a in pos])
-        as_int = lambda a: pa.array(np.concatenate([np.asarray(y, dtype=np.int32) for y in a]))
-        take = lambda c: b.column(c).take(pa.array(rows[p]))
-        head = [take(0), as_int(cell), as_int(bb), as_int(qb), as_int(role)]
-        if blocks is None:
-            yield pa.RecordBatch.from_arrays(head, ["grp", "cell", "bblock", "qblock", "role"])
-        else:
-            yield pa.RecordBatch.from_arrays([*head, take(1), pa.array(np.array(pack_vectors(x), dtype=object)[p], pa.binary())], ["grp", "cell", "bblock", "qblock", "role", "id", "vec"])
+def _plain(c: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
 
 
 # --- search within a block ---------------------------------------------------------------
@@ -337,39 +374,48 @@ def _searched(t: pa.Table, s: Settings) -> pa.Table:
 # --- the operator ------------------------------------------------------------------------
 
 
-def _fit_models(rows: DataFrame, big: dict[str, int], s: Settings) -> dict[str, np.ndarray]:
-    """Routers of the groups of one wave, fitted group by group on the executors."""
-    if not big:
-        return {}
-    spark = rows.sparkSession
-    share = spark.createDataFrame([(g, n, int(min(1.0, s.sample_rows / n) * 2**20)) for g, n in big.items()], "grp string, n bigint, part int")
-    # a row per group of the wave, whose number MODEL_BYTES bounds
-    sample = rows.join(F.broadcast(share), "grp").where(F.pmod(F.xxhash64("id"), F.lit(2**20)) < F.col("part"))
+MODELS = "grp string, n bigint, parts int, probes int, w binary, share array<double>"
+
+
+def _fitted(rows: DataFrame, counts: DataFrame, s: Settings) -> DataFrame:
+    """MODELS of the groups of more than one part, fitted group by group on the executors."""
+    wanted = F.least(F.lit(s.sample_rows), F.lit(s.part_sample) * F.col("parts"))
+    share = counts.where("parts > 1").select("grp", "n", (wanted / F.col("n") * 2**20).cast("int").alias("part"))
+    sample = rows.where(F.size("vec") == s.dim).join(share, "grp").where(F.pmod(F.xxhash64("id"), F.lit(2**20)) < F.col("part"))
 
     def fit(t: pa.Table) -> pa.Table:
         n = t["n"][0].as_py()
         order = np.argsort(np.array(t["id"].to_pylist()), kind="stable")
-        t = t.take(pa.array(order))
-        _, x = _vectors(t["vec"], s.dim)
+        _, x = _vectors(t["vec"].take(pa.array(order)), s.dim)
         x = np.unique(x, axis=0) if len(x) else x
-        w = fit_group(x, n, s) if len(x) >= 64 else np.zeros((s.dim + 1, 1), np.float32)
-        return pa.table({"grp": [t["grp"][0].as_py()], "parts": pa.array([w.shape[1]], pa.int32()), "w": pa.array([w.tobytes()], pa.binary())})
-
-    fitted = sample.groupBy("grp").applyInArrow(fit, "grp string, parts int, w binary")
-    return {r.grp: np.frombuffer(r.w, np.float32).reshape(-1, r.parts) for r in fitted.toLocalIterator()}
-
-
-def _waves(big: dict[str, int], s: Settings) -> list[dict[str, int]]:
-    """Large groups in shares whose routers take at most MODEL_BYTES; one empty share if there are none."""
-    out: list[dict] = [{}]
-    size = 0
-    for g, n in big.items():
-        own = (s.dim + 1) * 4 * min(-(-n // s.cell_rows), s.max_parts)
-        if size + own > MODEL_BYTES and out[-1]:
-            out.append({})
-            size = 0
-        out[-1][g], size = n, size + own
-    return out
+        x = x[np.random.default_rng(len(x)).permutation(len(x))]
+        one = np.zeros((s.dim + 1, 1), np.float32), 1, np.ones(1)  # a handful of different vectors is one part
+        w, probes, part = fit_group(x, n, s) if len(x) >= 32 else one
+        return pa.table({
+            "grp": [t["grp"][0].as_py()], "n": [n], "parts": pa.array([w.shape[1]], pa.int32()), "probes": pa.array([probes], pa.int32()),
+            "w": pa.array([w.tobytes()], pa.binary()), "share": pa.array([part.tolist()], pa.list_(pa.float64())),
+        })
+
+    return sample.select("grp", "id", "vec", "n").groupBy("grp").applyInArrow(fit, MODELS)
+
+
+def _route_by_broadcast(rows: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
+    """For classifiers of MODEL_BYTES at most."""
+    sent = rows.sparkSession.sparkContext.broadcast({r.grp: Router.of(r.w, r.parts, r.probes, r.share, r.n, s) for r in fitted.toLocalIterator()})
+    return rows.mapInArrow(lambda it: (_routed(b, sent.value, s) for b in it), ROUTED)
+
+
+def _route_by_join(rows: DataFrame, counts: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
+    """For any number of groups: rows and classifiers meet by group, large groups in several shares."""
+    shares = counts.select("grp", F.ceil(F.col("n") / ROUTE_ROWS).cast("int").alias("_of"))
+    own = rows.join(shares, "grp").select("grp", "id", "vec", F.pmod(F.xxhash64("id"), F.col("_of")).cast("int").alias("_share"))
+    models = fitted.join(shares, "grp").withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).drop("_of")
+
+    def route(t: pa.Table, m: pa.Table) -> pa.Table:
+        known = {r["grp"]: Router.of(r["w"], r["parts"], r["probes"], r["share"], r["n"], s) for r in m.to_pylist()}
+        return pa.Table.from_batches([_routed(t.select(["grp", "id", "vec"]), known, s)])
+
+    return own.groupBy("grp", "_share").cogroup(models.groupBy("grp", "_share")).applyInArrow(route, ROUTED)
 
 
 def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settings | None = None) -> DataFrame:
@@ -384,22 +430,18 @@ def nearest(df: DataFrame, group: str, ident: str, vector: str, settings: Settin
     ship(df.sparkSession)
     name = F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("-"))  # a null group is "-"
     rows = df.select(name.alias("grp"), F.col(ident).cast("string").alias("id"), F.col(vector).alias("vec")).where("id IS NOT NULL")
-    big = {r.grp: r.n for r in rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.cell_rows).toLocalIterator()}
-    waves, found = _waves(big, s), None
-    head = "grp string, cell int, bblock int, qblock int, role int"
-    for k, w in enumerate(waves):
-        # the first share has the small groups too
-        part = rows.where(F.col("grp").isin(list(w))) if k else rows
-        others = frozenset() if k else frozenset(g for o in waves[1:] for g in o)
-        sent = rows.sparkSession.sparkContext.broadcast(_fit_models(part.where(F.size("vec") == s.dim), w, s))
-        blocks = _blocks(part, sent, list(w), head, s) if w else {}
-
-        def route(batches, sent=sent, others=others, blocks=blocks):
-            return _routed(batches, sent.value, others, blocks, s)
-
-        routed = part.mapInArrow(route, head + ", id string, vec binary")
-        hits = routed.groupBy("grp", "cell", "bblock", "qblock").applyInArrow(lambda t: _searched(t, s), "grp string, id binary, found array<struct<neg: double, id: binary>>")
-        found = hits if found is None else found.unionByName(hits)
+    counted = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.least(F.ceil(F.col("n") / s.cell_rows), F.lit(s.max_parts)).cast("int")
+    counts = written(counted.withColumn("parts", parts), "vector-groups")
+    total = counts.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("parts") > 1, F.col("parts"))).alias("parts")).first()
+    if (total.parts or 0) * (s.dim + 1) * 4 <= MODEL_BYTES:
+        routed = _route_by_broadcast(rows, _fitted(rows, counts, s), s)
+    else:
+        routed = _route_by_join(rows, counts, written(_fitted(rows, counts, s), "vector-routers"), s)
+    # a task of the search reads about TASK_BYTES, whatever the size of the whole
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total.n or 0) * s.probes * 2 * s.dim // TASK_BYTES))
+    cell = ["grp", "cell", "bblock", "qblock"]
+    found = routed.repartition(tasks, *cell).groupBy(*cell).applyInArrow(lambda t: _searched(t, s), "grp string, id binary, found array<struct<neg: double, id: binary>>")
     # as many lists as blocks visited; sorted by cosine, then by the id itself
     named = F.transform(F.flatten("found"), lambda f: F.struct(f["neg"].alias("neg"), unpacked_id(f["id"]).alias("name"), f["id"].alias("id")))
     top = found.groupBy("grp", "id").agg(F.collect_list("found").alias("found")).select("grp", "id", F.slice(F.array_sort(named), 1, s.k).alias("found"))
@@ -414,19 +456,6 @@ def neighbour_rows(near: DataFrame) -> DataFrame:
     return near.withColumns({"id": unpacked_id(F.col("id")), "neighbour": unpacked_id(F.col("neighbour"))})
 
 
-def _blocks(part: DataFrame, sent, groups: list[str], head: str, s: Settings) -> dict:
-    """Cells that came out larger than a block: group -> cell -> (base blocks, query blocks)."""
-    large = part.where(F.col("grp").isin(groups))
-    counted = large.mapInArrow(lambda it: _routed(it, sent.value, frozenset(), None, s), head).groupBy("grp", "cell").agg(
-        F.sum((F.col("role") == BOTH).cast("bigint")).alias("nb"), F.count(F.lit(1)).alias("nq")
-    )
-    over = (F.col("nb") > s.block_rows) | (F.col("nq") > 4 * s.block_rows)
-    out: dict = {}
-    for r in counted.where(over).toLocalIterator():
-        out.setdefault(r.grp, {})[r.cell] = (-(-r.nb // s.block_rows) or 1, -(-r.nq // (4 * s.block_rows)))
-    return out
-
-
 def neighbour_pairs(near: DataFrame) -> DataFrame:
     """(vector_id_a, vector_id_b), a < b, each pair once: one is among the other's most similar."""
     pair = near.select(F.least("id", "neighbour").alias("_a"), F.greatest("id", "neighbour").alias("_b")).distinct()
