@@ -86,7 +86,7 @@ def test_balanced_parts():
     assert cut < np.mean(np.random.default_rng(0).permutation(label)[:, None] != label[g]) * 0.7
 
 
-@pytest.mark.parametrize("x", [np.array([[0.5, -0.25, 1 / 512]]), np.array([[0.1, 1e30, -3.3]])])
+@pytest.mark.parametrize("x", [np.array([[0.5, -0.25, 1 / 512]]), np.array([[0.1, 1e30, -3.3]]), np.array([[127 / 512, -1 / 512, 0]]), np.array([[2.0**-140, 2.0**-141, 0]]), np.array([[128.0, 1.0, -128.0]]), np.array([[3e38, 2.0**100, 1]])])
 def test_packing_is_exact(x):
     x = x.astype(np.float32)
     assert (nb.unpack_vectors(nb.pack_vectors(x), 3) == x).all()
@@ -133,8 +133,8 @@ def test_more_parts_are_searched_where_they_are_needed():
     rng = np.random.default_rng(2)
     loose = rng.normal(size=(3000, 32)).astype(np.float32)
     tight = (rng.normal(size=(60, 32))[rng.integers(60, size=3000)] + 0.1 * rng.normal(size=(3000, 32))).astype(np.float32)
-    few, many = (nb.fit_group(x, 9000, nb.Settings(dim=32, cell_rows=200))[1] for x in (tight, loose))
-    assert few < many <= 12
+    few, many = (nb.fit_group(x, 9000, nb.Settings(dim=32, cell_rows=200))[2] for x in (tight, loose))
+    assert 2 <= few < many <= 12
 
 
 def test_routes_by_join_like_by_broadcast(spark, monkeypatch):

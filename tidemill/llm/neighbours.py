@@ -29,16 +29,17 @@ ROUTE_ROWS, TASK_BYTES = 65_536, 64 << 20
 @dataclass(frozen=True)
 class Settings:
     """dim: length of a usable vector. cell_rows: aimed size of a part. probes, max_probes: fewest and most parts searched
-    per query; between them as many as a held-out recall of ``recall`` takes. part_sample, sample_rows: vectors per part, and most of a
+    per query; between them those that together have a probability of MASS, the least with which sampled vectors that were held out
+    find ``recall`` of their neighbours. part_sample, sample_rows: vectors per part, and most of a
     group, that the classifier is fitted on (a hash sample); every row is indexed. max_parts: most parts of a group, whose parts grow
     beyond cell_rows then. block_rows: aimed rows of a block."""
 
     k: int = 5
     dim: int = 512
-    cell_rows: int = 256
-    probes: int = 3
+    cell_rows: int = 128
+    probes: int = 2
     max_probes: int = 12
-    recall: float = 0.99
+    recall: float = 0.995
     part_sample: int = 64
     sample_rows: int = 16_384
     max_parts: int = 1024
@@ -137,8 +138,8 @@ def fit_router(x: np.ndarray, label: np.ndarray, graph: np.ndarray, parts: int,
     return w
 
 
-def fit_group(x: np.ndarray, n_rows: int, s: Settings) -> tuple[np.ndarray, int, np.ndarray]:
-    """(router, parts to search, share of the rows in every part) of one group from a sample of its vectors, in random order."""
+def fit_group(x: np.ndarray, n_rows: int, s: Settings) -> tuple[np.ndarray, float, float, np.ndarray]:
+    """(router, probability of the parts to search, their mean number, share of the rows in every part) of one group from a sample of its vectors, in random order."""
     parts = max(2, min(s.parts(n_rows), len(x) // 8))
     x = unit(x)
     held = min(len(x) // 8, 1024)
@@ -147,11 +148,19 @@ def fit_group(x: np.ndarray, n_rows: int, s: Settings) -> tuple[np.ndarray, int,
     w = fit_router(own, balanced_parts(graph, parts), graph, parts)
     k = min(s.k, len(own))
     near = np.argpartition(-(new @ own.T), k - 1, axis=1)[:, :k]
-    order, cell = _probes(new, w, s.max_probes), _probes(x, w, 1)[:, 0]
-    place = (order[:, None, :] == cell[held:][near][:, :, None]).argmax(2) + ~(order[:, None, :] == cell[held:][near][:, :, None]).any(2) * s.max_probes
-    recall = [(place < p).mean() for p in range(1, order.shape[1] + 1)]
-    probes = next((p for p, r in enumerate(recall, 1) if p >= s.probes and r >= s.recall), s.max_probes)
-    return w, min(probes, parts), np.bincount(cell, minlength=parts) / len(cell)
+    cell = _probes(x, w)[0][:, 0]
+    order, before = _probes(new, w)
+    found = order[:, None, :] == cell[held:][near][:, :, None]
+    searched = [_searched_parts(before, m, s) for m in MASS]
+    recall = [(found & y[:, None, :]).any(2).mean() for y in searched]
+    best = next((n for n, r in enumerate(recall) if r >= s.recall), len(MASS) - 1)
+    return w, MASS[best], float(searched[best].sum(1).mean()), np.bincount(cell, minlength=parts) / len(cell)
+
+
+def _searched_parts(before: np.ndarray, mass: float, s: Settings) -> np.ndarray:
+    """Which of the parts, in the order of ``_probes``, are searched."""
+    rank = np.arange(before.shape[1])
+    return (rank < s.probes) | ((before < mass) & (rank < s.max_probes))
 
 
 # --- rows as arrays ----------------------------------------------------------------------
@@ -187,18 +196,26 @@ def _kept(group: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarr
 
 
 def pack_vectors(x: np.ndarray) -> list[bytes]:
-    """Rows of float32, without loss: as float16 where that holds them exactly, their bytes in
-    planes (all first bytes, all second, ...), compressed."""
+    """Rows of float32, without loss: as whole numbers of one byte where a power of two makes them such, as float16
+    where that holds them exactly, or as they are; their bytes in planes (all first bytes, all second, ...), compressed."""
     import zstandard
 
     zip1 = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
-    with np.errstate(over="ignore"):
+    with np.errstate(over="ignore", invalid="ignore"):
         half = x.astype(np.float16)
-    exact = (half.astype(np.float32) == x).all(1)
+        exact = (half.astype(np.float32) == x).all(1)
+        power = 6 - np.frexp(np.abs(x).max(1))[1]  # the greatest entry becomes 32 to 64, then up to 127
+        power = power[:, None] + np.arange(2)
+        whole = [np.ldexp(x, power[:, [j]]) for j in range(2)]
+        byte = [(w == np.rint(w)).all(1) & (np.abs(w) < 128).all(1) & (np.abs(x).max(1) > 0) for w in whole]
     out = []
-    for small, h, f in zip(exact, half, x):
-        v = h if small else f
-        out.append((b"h" if small else b"f") + zip1(v.view(np.uint8).reshape(len(v), -1).T.tobytes()))
+    for i in range(len(x)):
+        j = next((j for j in range(2) if byte[j][i]), -1)
+        if j >= 0:
+            out.append(b"b" + int(power[i, j]).to_bytes(2, "little", signed=True) + zip1(whole[j][i].astype(np.int8).tobytes()))
+        else:
+            v = half[i] if exact[i] else x[i]
+            out.append((b"h" if exact[i] else b"f") + zip1(v.view(np.uint8).reshape(len(v), -1).T.tobytes()))
     return out
 
 
@@ -208,6 +225,9 @@ def unpack_vectors(rows: list[bytes], dim: int) -> np.ndarray:
     unzip = zstandard.ZstdDecompressor().decompress
     out = np.empty((len(rows), dim), dtype=np.float32)
     for i, r in enumerate(rows):
+        if r[:1] == b"b":
+            out[i] = np.ldexp(np.frombuffer(unzip(r[3:]), np.int8).astype(np.float32), -int.from_bytes(r[1:3], "little", signed=True))
+            continue
         kind = np.float16 if r[:1] == b"h" else np.float32
         out[i] = np.frombuffer(unzip(r[1:]), np.uint8).reshape(-1, dim).T.copy().view(kind)[:, 0]
     return out
@@ -230,31 +250,37 @@ def unpacked_id(c: Column) -> Column:
 
 
 BASE, QUERY, BOTH = 1, 2, 3
+#: Probabilities that the parts searched have together.
+MASS = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 1.0)
 
 
-def _probes(x: np.ndarray, model: np.ndarray | None, probes: int) -> np.ndarray:
-    """(n, <= probes) parts of every vector, most probable first."""
+def _probes(x: np.ndarray, model: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of every vector, most probable first, and what is probable of those before each."""
     if model is None:
-        return np.zeros((len(x), 1), dtype=np.int64)
-    score = unit(x) @ model[:-1] + model[-1]
-    return np.argsort(-score, axis=1, kind="stable")[:, :probes]
+        return np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1), np.float32)
+    p = unit(x) @ model[:-1] + model[-1]
+    p = np.exp(p - p.max(1, keepdims=True))
+    order = np.argsort(-p, axis=1, kind="stable")
+    p = np.take_along_axis(p, order, 1)
+    before = np.cumsum(p, axis=1)
+    return order, (before - p) / before[:, -1:]
 
 
 @dataclass(frozen=True)
 class Router:
-    """weights; parts to search; (base blocks, query blocks) of the parts that will be large."""
+    """weights; probability of the parts to search; (base blocks, query blocks) of the parts that will be large."""
 
     weights: np.ndarray
-    probes: int
+    mass: float
     blocks: dict[int, tuple[int, int]]
 
     @staticmethod
-    def of(w: bytes, parts: int, probes: int, share: list[float], rows: int, s: Settings) -> Router:
+    def of(w: bytes, parts: int, mass: float, probes: float, share: list[float], rows: int, s: Settings) -> Router:
         blocks = {}
-        for c, x in enumerate(share):  # a query is sent to ``probes`` parts
+        for c, x in enumerate(share):  # a query is sent to ``probes`` parts on average
             if x * rows > s.block_rows:
                 blocks[c] = (-(-int(x * rows) // s.block_rows), -(-int(x * rows * probes) // (4 * s.block_rows)))
-        return Router(np.frombuffer(w, np.float32).reshape(-1, parts), probes, blocks)
+        return Router(np.frombuffer(w, np.float32).reshape(-1, parts), mass, blocks)
 
 
 ROUTED = "grp string, cell int, bblock int, qblock int, role int, id string, vec binary"
@@ -272,9 +298,11 @@ def _routed(b: pa.RecordBatch | pa.Table, routers: dict[str, Router], s: Setting
     for n, g in enumerate(found.tolist()):
         at = np.flatnonzero(group == n)
         r = routers.get(g)
-        to = _probes(x[at], r.weights if r else None, r.probes if r else 1)
-        split = r.blocks if r else {}
-        for j in range(to.shape[1]):
+        order, before = _probes(x[at], r.weights if r else None)
+        visited = _searched_parts(before, r.mass if r else 0.0, s)
+        split, every = r.blocks if r else {}, at
+        for j in range(visited.any(0).sum()):
+            at, to = every[visited[:, j]], order[visited[:, j]]
             cut = np.isin(to[:, j], list(split)) if split else np.zeros(len(at), bool)
             pos.append(at[~cut]), cell.append(to[~cut, j]), role.append(np.where(base[at[~cut]] & (j == 0), BOTH, QUERY))
             bb.append(np.zeros(int((~cut).sum()), int)), qb.append(np.zeros(int((~cut).sum()), int))
@@ -374,7 +402,7 @@ def _searched(t: pa.Table, s: Settings) -> pa.Table:
 # --- the operator ------------------------------------------------------------------------
 
 
-MODELS = "grp string, n bigint, parts int, probes int, w binary, share array<double>"
+MODELS = "grp string, n bigint, parts int, mass double, probes double, w binary, share array<double>"
 
 
 def _fitted(rows: DataFrame, counts: DataFrame, s: Settings) -> DataFrame:
@@ -389,10 +417,10 @@ def _fitted(rows: DataFrame, counts: DataFrame, s: Settings) -> DataFrame:
         _, x = _vectors(t["vec"].take(pa.array(order)), s.dim)
         x = np.unique(x, axis=0) if len(x) else x
         x = x[np.random.default_rng(len(x)).permutation(len(x))]
-        one = np.zeros((s.dim + 1, 1), np.float32), 1, np.ones(1)  # a handful of different vectors is one part
-        w, probes, part = fit_group(x, n, s) if len(x) >= 32 else one
+        one = np.zeros((s.dim + 1, 1), np.float32), 1.0, 1.0, np.ones(1)  # a handful of different vectors is one part
+        w, mass, probes, part = fit_group(x, n, s) if len(x) >= 32 else one
         return pa.table({
-            "grp": [t["grp"][0].as_py()], "n": [n], "parts": pa.array([w.shape[1]], pa.int32()), "probes": pa.array([probes], pa.int32()),
+            "grp": [t["grp"][0].as_py()], "n": [n], "parts": pa.array([w.shape[1]], pa.int32()), "mass": [mass], "probes": [probes],
             "w": pa.array([w.tobytes()], pa.binary()), "share": pa.array([part.tolist()], pa.list_(pa.float64())),
         })
 
@@ -401,7 +429,7 @@ def _fitted(rows: DataFrame, counts: DataFrame, s: Settings) -> DataFrame:
 
 def _route_by_broadcast(rows: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
     """For classifiers of MODEL_BYTES at most."""
-    sent = rows.sparkSession.sparkContext.broadcast({r.grp: Router.of(r.w, r.parts, r.probes, r.share, r.n, s) for r in fitted.toLocalIterator()})
+    sent = rows.sparkSession.sparkContext.broadcast({r.grp: Router.of(r.w, r.parts, r.mass, r.probes, r.share, r.n, s) for r in fitted.toLocalIterator()})
     return rows.mapInArrow(lambda it: (_routed(b, sent.value, s) for b in it), ROUTED)
 
 
@@ -412,7 +440,7 @@ def _route_by_join(rows: DataFrame, counts: DataFrame, fitted: DataFrame, s: Set
     models = fitted.join(shares, "grp").withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).drop("_of")
 
     def route(t: pa.Table, m: pa.Table) -> pa.Table:
-        known = {r["grp"]: Router.of(r["w"], r["parts"], r["probes"], r["share"], r["n"], s) for r in m.to_pylist()}
+        known = {r["grp"]: Router.of(r["w"], r["parts"], r["mass"], r["probes"], r["share"], r["n"], s) for r in m.to_pylist()}
         return pa.Table.from_batches([_routed(t.select(["grp", "id", "vec"]), known, s)])
 
     return own.groupBy("grp", "_share").cogroup(models.groupBy("grp", "_share")).applyInArrow(route, ROUTED)
