@@ -429,7 +429,7 @@ def _fitted(rows: DataFrame, counts: DataFrame, s: Settings) -> DataFrame:
 
 def _route_by_broadcast(rows: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
     """For classifiers of MODEL_BYTES at most."""
-    sent = rows.sparkSession.sparkContext.broadcast({r.grp: Router.of(r.w, r.parts, r.mass, r.probes, r.share, r.n, s) for r in fitted.toLocalIterator()})
+    sent = rows.sparkSession.sparkContext.broadcast({r.grp: Router.of(r.w, r.parts, r.mass, r.probes, r.share, r.n, s) for r in fitted.collect()})  # at most MODEL_BYTES, fitted side by side
     return rows.mapInArrow(lambda it: (_routed(b, sent.value, s) for b in it), ROUTED)
 
 
