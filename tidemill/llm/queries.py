@@ -62,7 +62,7 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return garble.find_garbled(docs, "text", with_text=False).where("n_garbled > 0").select("doc_id")
+    return garble.find_garbled(docs, "text").where("n_garbled > 0 AND (restored IS NOT NULL)").select("doc_id")
 
 
 def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
