@@ -183,7 +183,8 @@ def _single(text: str, at: list[int], w: str) -> list[tuple[int, int, str, float
             c = bytes(raw).decode("utf-8", "ignore")
             if len(c) != 1 or not _plausible(c):
                 break
-            hits.append((i, i + n, c, _weight(text, i, i + n, c)))
+            weight = _weight(text, i, i + n, c)
+            hits.append((i, i + n, c, min(weight, 0.3) if n == 3 and " " in text[i : i + n] else weight))
             i = end = i + n
     return _joined(hits)
 
