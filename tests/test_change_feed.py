@@ -125,3 +125,54 @@ def test_the_query_merges_into_touched_buckets(spark, monkeypatch):
     one = cf.BucketedState(spark, fresh_dir(spark, "t"), problems.FEED_FIELDS)
     one.apply(cf.parse_messages(problems.table(spark, sf, "cdc_to_iceberg"), problems.FEED_FIELDS))
     assert merged and sorted(map(str, store.current().collect())) == sorted(map(str, one.current().collect()))
+
+
+def test_two_writers_race(spark):
+    """Of writers that commit the same version at the same time one wins, the others' batches are refused."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tidemill.sources import shared_fs
+
+    path = fresh_dir(spark, "race")
+    for n in range(5):
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda k: shared_fs.write_new(spark, f"{path}/{n}.json", f"writer {k}"), range(8)))
+        assert sum(won) == 1 and shared_fs.read_text(spark, f"{path}/{n}.json") == f"writer {won.index(True)}"
+    assert shared_fs.names(spark, path) == [f"{n}.json" for n in range(5)]
+
+
+def test_two_stores_apply_at_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = fresh_dir(spark, "t")
+    feed = lambda k: cf.parse_messages(spark.createDataFrame([msg(k, "c", k, k, None, img(k))], SCHEMA), FIELDS)
+
+    def write(k):
+        store = cf.BucketedState(spark, path, FIELDS, buckets=2)
+        while True:
+            try:
+                return store.apply(feed(k))
+            except RuntimeError:  # another writer was first: again
+                continue
+
+    with ThreadPoolExecutor(3) as pool:
+        versions = list(pool.map(write, (1, 2, 3)))
+    assert sorted(versions) == [1, 2, 3] and cf.BucketedState(spark, path, FIELDS).current().count() == 3
+
+
+def test_buckets_follow_the_size(spark, monkeypatch):
+    store = cf.BucketedState(spark, fresh_dir(spark, "t"), FIELDS, buckets=16)
+    feed = lambda a, b: cf.parse_messages(spark.createDataFrame([msg(i, "c", i, i, None, img(i)) for i in range(a, b)], SCHEMA), FIELDS)
+    store.apply(feed(1, 200))
+    assert len(store.manifest()["files"]) > 10
+    store.compact()
+    assert len(store.manifest()["files"]) == 1 and store.current().count() == 199
+    monkeypatch.setattr(cf.BucketedState, "GROW", sum(store.manifest()["sizes"].values()) // 4)
+    other = cf.BucketedState(spark, store.path, FIELDS)
+    store.apply(feed(200, 210))  # the one bucket is divided first
+    assert store.buckets > 2 and len(store.manifest()["files"]) > 2 and store.current().count() == 209
+    monkeypatch.setattr(cf.BucketedState, "GROW", 1 << 30)
+    other.apply(feed(210, 220))  # opened before that
+    assert other.buckets == store.buckets and other.current().count() == 219 and other.current().select("id").distinct().count() == 219
+    one = other.compact()
+    assert other.buckets == 1 and other.compact() == one  # nothing left to do

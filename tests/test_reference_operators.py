@@ -46,6 +46,8 @@ def test_citations_and_sentences(spark):
 
 def test_redact_and_keys(spark):
     assert scalar(spark, text.redact, "password = abc at postgres://u:pw@h/db") == "password = *** at postgres://u:***@h/db"
+    assert scalar(spark, text.redact, "GET /x?token=a1b2&page=2 pwd='two words' API_KEY: \"k\"") == "GET /x?token=***&page=2 pwd=*** API_KEY: ***"
+    assert scalar(spark, text.redact, "https://h/p?a=b@c and passwords change") == "https://h/p?a=b@c and passwords change"
     assert scalar(spark, text.record_key, "[tenant_id, id]") == "tenant_id,id" and scalar(spark, text.record_key, None) == ""
 
 
@@ -245,3 +247,26 @@ def test_golden(spark, tmp_path):
     p.write_text("\n")
     with pytest.raises(ValueError):
         golden.read_golden(spark, str(p))
+
+
+def test_lake_refuses_split_keys(spark):
+    """The guard fails the batch before anything is committed."""
+    from tidemill.operators.lake import LakeTable
+    from tidemill.session import fresh_dir
+
+    row = '{"op":"u","after":{"id":1,"tenant_id":"t"},"source":{"lsn":%d}}'
+    two = [("cdc.public.article", p, o, b"1", (row % o).encode()) for p, o in ((0, 1), (1, 2))]
+    t = LakeTable(spark, fresh_dir(spark, "lake"), "article", buckets=2)
+    with pytest.raises(ValueError, match="several partitions: t/1: 0 and 1"):
+        t.apply(spark.createDataFrame(two, MSG))
+    assert t.versions() == []
+    assert t.apply(spark.createDataFrame(two[:1], MSG)) == 1
+    loose = LakeTable(spark, fresh_dir(spark, "lake"), "article", buckets=2, guard=False)
+    assert loose.apply(spark.createDataFrame(two, MSG)) == 1
+
+
+def test_production_secrets():
+    from tidemill.model import Settings
+
+    bad = lambda v: Settings(production=True, secrets={"dsn": v}, placeholders=("replace me",)).problems()
+    assert bad("postgres://app:app@h/db") and bad("") and bad("replace me") and not bad("postgres://app:Kq83-x@h/db")

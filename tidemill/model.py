@@ -47,6 +47,7 @@ class Settings:
     egress_allowed: bool = False
     remote_model: bool = False
     secrets: dict = field(default_factory=dict)
+    placeholders: tuple[str, ...] = ()
 
     def problems(self, tables: dict[str, TableSpec] | None = None) -> list[str]:
         """Everything that is wrong, at once."""
@@ -63,7 +64,7 @@ class Settings:
             if not t.parent and not t.fields:
                 out.append(f"{t.name}: fields must not be empty")
         if self.production:
-            if any(w in str(v) for v in self.secrets.values() for w in ("change-me", "postgres:postgres@")):
+            if any(_weak(str(v), self.placeholders) for v in self.secrets.values()):
                 out.append("production needs secrets of its own")
             if self.remote_model and not self.egress_allowed:
                 out.append("texts may leave the system only with egress_allowed")
@@ -74,6 +75,12 @@ class Settings:
             raise ValueError("; ".join(p))
 
 
+def _weak(secret: str, placeholders: tuple[str, ...]) -> bool:
+    """Empty, one of the values that a deployment must replace, or an address whose password is its user's name."""
+    login = re.search(r"://([^:/@]+):([^@/]+)@", secret)
+    return not secret or any(p in secret for p in placeholders) or bool(login and login[1] == login[2])
+
+
 def schema_problems(spec: TableSpec, schema: StructType) -> list[str]:
     """Columns that a table spec names and the schema lacks."""
     need = {spec.key, "tenant_id", *spec.fields} | ({spec.title} if spec.title else set()) | ({spec.parent[1]} if spec.parent else set())

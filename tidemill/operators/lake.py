@@ -9,6 +9,7 @@ from tidemill.operators import envelope
 from tidemill.sources.bucket_store import BucketStore
 
 KEY = ["tenant_id", "id"]
+SPLIT = "changes of a key lie in several partitions:"
 
 
 class LakeTable(BucketStore):
@@ -24,14 +25,22 @@ class LakeTable(BucketStore):
 
     def reduced(self, messages: DataFrame) -> DataFrame:
         flat = envelope.flatten(envelope.parse(envelope.of_table(messages, self.table), self.row), self.row)
-        if self.guard:
-            flat = flat.persist()
-            try:
-                envelope.assert_one_partition(flat)
-            finally:
-                flat.unpersist()
         best = F.max_by(F.struct(*[c for c in self.row.names if c not in KEY], "is_deleted"), "event_pos").alias("_r")
-        return flat.groupBy(*KEY).agg(best, F.max("event_pos").alias("event_pos")).select(*[F.col(c) if c in KEY else F.col(f"_r.{c}") for c in self.row.names], "event_pos", "_r.is_deleted")
+        one = flat.groupBy(*KEY).agg(best, F.max("event_pos").alias("event_pos"), F.min("partition").alias("_from"), F.max("partition").alias("_to"))
+        pos = F.col("event_pos")
+        if self.guard:  # in the same pass; the batch fails before anything is committed
+            where = F.format_string(SPLIT + " %s/%d: %d and %d", *KEY, "_from", "_to")
+            pos = F.when(F.col("_from") == F.col("_to"), pos).otherwise(F.raise_error(where).cast("string"))
+        return one.select(*[F.col(c) if c in KEY else F.col(f"_r.{c}") for c in self.row.names], pos.alias("event_pos"), "_r.is_deleted")
+
+    def apply(self, changes: DataFrame, batch: int | None = None) -> int:
+        """As of every store; a key whose changes lie in several partitions, where their order is not defined, is refused."""
+        try:
+            return super().apply(changes, batch)
+        except Exception as e:
+            if SPLIT in str(e):
+                raise ValueError(str(e)[str(e).index(SPLIT) :].splitlines()[0]) from e
+            raise
 
     def newer(self, column: str, base: Column, delta: Column, base_row: Column, delta_row: Column) -> Column:
         return F.when(delta_row["event_pos"] >= base_row["event_pos"], delta).otherwise(base)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from tidemill.model import TABLES
 from tidemill.operators import documents, envelope
 from tidemill.operators.change_feed import UNAVAILABLE
 from tidemill.operators.lake import LakeTable
@@ -50,17 +53,21 @@ def cdc_toast_repair(spark, sf_dir):
     return p.select("partition", "offset", F.col("after.id").alias("id"), envelope.repaired(F.col("after.description"), F.col("before.description")).alias("description"))
 
 
+def over_tables(one: Callable[[str], DataFrame]) -> DataFrame:
+    """A frame per source table, united under the table's name."""
+    return reduce(DataFrame.unionByName, [one(t).withColumn("source_table", F.lit(t)) for t in envelope.ROWS])
+
+
 def cdc_null_tenant(spark, sf_dir):
-    return flat(spark, sf_dir, "comment").where(F.col("tenant_id") == envelope.UNKNOWN_TENANT).select("partition", "offset", "id")
+    return over_tables(lambda t: flat(spark, sf_dir, t).where(F.col("tenant_id") == envelope.UNKNOWN_TENANT).select("partition", "offset", "id"))
 
 
 def cdc_event_pos(spark, sf_dir):
-    return flat(spark, sf_dir, "comment").select("partition", "offset", "position", "event_pos")
+    return over_tables(lambda t: flat(spark, sf_dir, t).select("partition", "offset", "position", "event_pos"))
 
 
 def cdc_event_keys(spark, sf_dir):
-    p = parsed(spark, sf_dir, "comment")
-    return p.select("partition", "offset", "op", F.coalesce("after.id", "before.id").alias("pk"))
+    return over_tables(lambda t: parsed(spark, sf_dir, t).select("partition", "offset", "op", F.coalesce("after.id", "before.id").alias("pk")))
 
 
 def cdc_latest_state(spark, sf_dir):
@@ -68,7 +75,8 @@ def cdc_latest_state(spark, sf_dir):
 
 
 def cdc_precombine(spark, sf_dir):
-    return flat(spark, sf_dir, "product").groupBy("tenant_id", "id").agg(F.max("event_pos").alias("event_pos"), F.max_by("is_deleted", "event_pos").alias("is_deleted"))
+    last = F.max_by("is_deleted", "event_pos").alias("is_deleted")
+    return over_tables(lambda t: flat(spark, sf_dir, t).groupBy("tenant_id", "id").agg(F.max("event_pos").alias("event_pos"), last))
 
 
 def cdc_merge_apply(spark, sf_dir):
@@ -79,13 +87,16 @@ def cdc_merge_apply(spark, sf_dir):
 
 
 def cdc_partition_offenders(spark, sf_dir):
-    return envelope.split_keys(flat(spark, sf_dir, "comment"))
+    """Keys whose changes would lie in several partitions if the log were dealt by offset and not by key, and those of the log as it is."""
+    as_is = over_tables(lambda t: envelope.split_keys(flat(spark, sf_dir, t)))
+    dealt = over_tables(lambda t: envelope.split_keys(flat(spark, sf_dir, t).withColumn("partition", F.pmod("offset", F.lit(5)).cast("int"))))
+    return as_is.withColumn("log", F.lit("as it is")).unionByName(dealt.withColumn("log", F.lit("dealt by offset")))
 
 
 def cdc_changelog_retraction(spark, sf_dir):
     """Net count of every row image key after all that was stated and taken back."""
-    c = envelope.changelog(parsed(spark, sf_dir, "article"), envelope.ROWS["article"])
-    return c.groupBy("tenant_id", "id").agg(F.sum("sign").alias("net"), F.count_if(F.col("sign") < 0).alias("taken_back"))
+    c = over_tables(lambda t: envelope.changelog(parsed(spark, sf_dir, t), envelope.ROWS[t]).select("tenant_id", "id", "sign"))
+    return c.groupBy("source_table", "tenant_id", "id").agg(F.sum("sign").alias("net"), F.count_if(F.col("sign") < 0).alias("taken_back"))
 
 
 def cdc_table_counts(spark, sf_dir):
@@ -102,7 +113,7 @@ def cdc_point_lookup(spark, sf_dir):
 
 
 def _lake(spark: SparkSession, name: str) -> LakeTable:
-    return LakeTable(spark, fresh_dir(spark, f"lake-{name}"), name, guard=False)
+    return LakeTable(spark, fresh_dir(spark, f"lake-{name}"), name, guard=True)
 
 
 def cdc_lake_batches(spark, sf_dir):
@@ -122,13 +133,24 @@ def cdc_lake_replay(spark, sf_dir):
 
 
 def cdc_lake_maintenance(spark, sf_dir):
-    """Versions and rows after three batches that together are the whole feed, compaction and expiry."""
-    feed, t = table(spark, sf_dir, "cdc_to_iceberg"), _lake(spark, "article")
-    for n in range(3):
-        t.apply(envelope.as_messages(feed.where(F.pmod("log_offset", F.lit(3)) == n)))
-    t.compact()
-    dropped = t.expire(keep=2)
-    return t.current().agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(len(t.versions())).cast("bigint").alias("versions"), F.lit(dropped).cast("bigint").alias("dropped"))
+    """Rows, versions and files after three batches that together are the whole feed, compaction and expiry: small buckets become
+    one file, versions younger than a week stay, and what an hour from now is older than an hour goes but for the last two."""
+    feed, out = table(spark, sf_dir, "cdc_to_iceberg"), None
+    for name in envelope.ROWS:
+        t = _lake(spark, name)
+        for n in range(3):
+            t.apply(envelope.as_messages(feed.where(F.pmod("log_offset", F.lit(3)) == n)))
+        before = sum(map(len, t.manifest()["files"].values()))
+        t.compact()
+        after = sum(map(len, t.manifest()["files"].values()))
+        week, hour, now = 168 * 3_600_000, 3_600_000, int(time.time() * 1000)
+        young, dropped = t.expire(keep=2, older_than_ms=now - week), t.expire(keep=2, older_than_ms=now + hour)
+        one = t.current().agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("source_table"), "n", F.lit(before > after).alias("fewer_files"), F.lit(after).cast("bigint").alias("files"),
+            F.lit(young).cast("bigint").alias("young_dropped"), F.lit(dropped).cast("bigint").alias("dropped"), F.lit(len(t.versions())).cast("bigint").alias("versions"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def stream_lake(spark, sf_dir):
@@ -140,18 +162,11 @@ def stream_lake(spark, sf_dir):
     return t.current()
 
 
-def _documents(spark: SparkSession, sf_dir: str, latest: bool = True) -> DataFrame:
-    out = None
-    for name in ("article", "product"):
-        d = documents.source_documents(table(spark, sf_dir, name).withColumn("_at", F.col("updated_at")), TABLES[name])
-        d = documents.hashed(d)
-        out = d if out is None else out.unionByName(d)
-    return out.dropDuplicates(documents.ROW_KEY + ["text_hash", "status"]) if latest else out
-
-
 def cdc_actions(spark, sf_dir):
     """What each change does to the index when its row is looked up in the source: counts by table."""
-    src = _documents(spark, sf_dir).groupBy(*documents.ROW_KEY).agg(F.max("text_hash").alias("text_hash"), F.min("blank").alias("blank"))
+    from tidemill.plans.index import current_sources
+
+    src = documents.hashed(current_sources(spark, sf_dir)).select(*documents.ROW_KEY, "text_hash", "blank")
     stored = documents.stored_hashes(table(spark, sf_dir, "doc_vectors"))
     out = None
     for name in ("article", "product", "comment"):
@@ -167,7 +182,7 @@ def cdc_actions(spark, sf_dir):
 
 
 def cdc_moved_tenants(spark, sf_dir):
-    return documents.moved_tenants(parsed(spark, sf_dir, "article"), "article")
+    return over_tables(lambda t: documents.moved_tenants(parsed(spark, sf_dir, t), t).drop("source_table"))
 
 
 def cdc_parents_to_rebuild(spark, sf_dir):
@@ -217,6 +232,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     a, p, c = _sql("article"), _sql("product"), _sql("comment")
+    every = lambda q: " UNION ALL ".join(f"SELECT *, '{t}' AS source_table FROM ({_sql(t)} {q})" for t in envelope.ROWS)
     blank = r"regexp_replace(t, '[\s\v\x{85}\x{1c}-\x{1f}\pZ]+', '', 'g') = ''"
     return {
         "cdc_topic_table": "SELECT split_part(topic, '.', -1) AS source_table, count(*) AS messages, count(*) FILTER (op IS NULL) AS tombstones FROM cdc_to_iceberg GROUP BY 1",
@@ -224,35 +240,38 @@ def oracle_sql() -> dict[str, str]:
         "cdc_image_select": a + 'SELECT "partition", "offset", op, id, tenant_id, title, status, updated_at FROM flat',
         "cdc_toast_repair": p + f"""SELECT "partition", "offset", after_id AS id, "before"->>'description' AS description FROM parsed
             WHERE op <> 'd' AND ("after"->>'description') IN ('{UNAVAILABLE[0]}', '{UNAVAILABLE[1]}')""",
-        "cdc_null_tenant": c + 'SELECT "partition", "offset", id FROM flat WHERE tenant_id = \'__unknown__\'',
-        "cdc_event_pos": c + 'SELECT "partition", "offset", position, event_pos FROM flat',
-        "cdc_event_keys": c + 'SELECT "partition", "offset", op, coalesce(after_id, before_id) AS pk FROM parsed',
+        "cdc_null_tenant": every('SELECT "partition", "offset", id FROM flat WHERE tenant_id = \'__unknown__\''),
+        "cdc_event_pos": every('SELECT "partition", "offset", position, event_pos FROM flat'),
+        "cdc_event_keys": every('SELECT "partition", "offset", op, coalesce(after_id, before_id) AS pk FROM parsed'),
         "cdc_latest_state": a + "SELECT id, tenant_id, title, body, status, updated_at FROM latest WHERE op <> 'd'",
-        "cdc_precombine": p + "SELECT tenant_id, id, max(event_pos) AS event_pos, arg_max(is_deleted, event_pos) AS is_deleted FROM flat GROUP BY ALL",
+        "cdc_precombine": every("SELECT tenant_id, id, max(event_pos) AS event_pos, arg_max(is_deleted, event_pos) AS is_deleted FROM flat GROUP BY ALL"),
         "cdc_merge_apply": p + """, late AS (SELECT * FROM flat WHERE op <> 'r'
               QUALIFY row_number() OVER (PARTITION BY tenant_id, id ORDER BY position DESC, "offset" DESC, "partition" DESC) = 1),
             base AS (SELECT * FROM flat WHERE op = 'r'
               QUALIFY row_number() OVER (PARTITION BY tenant_id, id ORDER BY position DESC, "offset" DESC, "partition" DESC) = 1)
             SELECT id, tenant_id, name, description, status, updated_at FROM base ANTI JOIN late USING (tenant_id, id)
             UNION ALL SELECT id, tenant_id, name, description, status, updated_at FROM late WHERE op <> 'd'""",
-        "cdc_partition_offenders": c + 'SELECT tenant_id, id, count(DISTINCT "partition") AS partitions FROM flat GROUP BY ALL HAVING partitions > 1',
-        "cdc_changelog_retraction": a + """SELECT tenant_id, id, CAST(sum(sign) AS BIGINT) AS net, count(*) FILTER (sign < 0) AS taken_back FROM (
+        "cdc_partition_offenders": every("""SELECT tenant_id, id, 'as it is' AS log, count(DISTINCT "partition") AS partitions FROM flat GROUP BY ALL HAVING partitions > 1
+            UNION ALL SELECT tenant_id, id, 'dealt by offset', count(DISTINCT "offset" % 5) AS partitions FROM flat GROUP BY ALL HAVING partitions > 1"""),
+        "cdc_changelog_retraction": every("""SELECT tenant_id, id, CAST(sum(sign) AS BIGINT) AS net, count(*) FILTER (sign < 0) AS taken_back FROM (
               SELECT -1 AS sign, "before"->>'tenant_id' AS tenant_id, before_id AS id FROM parsed WHERE op IN ('u', 'd') AND before_id IS NOT NULL
-              UNION ALL SELECT 1, "after"->>'tenant_id', after_id FROM parsed WHERE op IN ('r', 'c', 'u') AND after_id IS NOT NULL) GROUP BY ALL""",
+              UNION ALL SELECT 1, "after"->>'tenant_id', after_id FROM parsed WHERE op IN ('r', 'c', 'u') AND after_id IS NOT NULL) GROUP BY ALL"""),
         "cdc_table_counts": " UNION ALL ".join(f"SELECT * FROM ({_sql(t)} SELECT '{t}' AS source_table, count(*) AS n FROM latest WHERE op <> 'd')" for t in envelope.ROWS),
         "cdc_point_lookup": a + "SELECT id, coalesce(status, 'PRESENT') AS status FROM latest WHERE op <> 'd' AND tenant_id = 'default'",
         "cdc_lake_batches": _current("comment"),
         "cdc_lake_replay": _current("product"),
-        "cdc_lake_maintenance": f"SELECT count(*) AS n, CAST(2 AS BIGINT) AS versions, CAST(1 AS BIGINT) AS dropped FROM ({_current('article')})",
+        # three merges and one rewrite are four versions, of which the last two stay
+        "cdc_lake_maintenance": " UNION ALL ".join(
+            f"SELECT '{t}' AS source_table, count(*) AS n, TRUE AS fewer_files, CAST(1 AS BIGINT) AS files, CAST(0 AS BIGINT) AS young_dropped, CAST(4 - 2 AS BIGINT) AS dropped, CAST(2 AS BIGINT) AS versions FROM ({_current(t)})" for t in envelope.ROWS),
         "stream_lake": _current("article"),
-        "cdc_moved_tenants": a + """SELECT DISTINCT "before"->>'tenant_id' AS tenant_id, 'article' AS source_table, CAST(coalesce(before_id, after_id) AS VARCHAR) AS source_pk
-            FROM parsed WHERE ("before"->>'tenant_id') <> ("after"->>'tenant_id')""",
+        "cdc_moved_tenants": every("""SELECT DISTINCT "before"->>'tenant_id' AS tenant_id, CAST(coalesce(before_id, after_id) AS VARCHAR) AS source_pk
+            FROM parsed WHERE ("before"->>'tenant_id') <> ("after"->>'tenant_id')"""),
         "cdc_parents_to_rebuild": c + """SELECT DISTINCT coalesce("after"->>'tenant_id', "before"->>'tenant_id') AS tenant_id,
             coalesce("after"->>'article_id', "before"->>'article_id') AS source_pk FROM parsed WHERE source_pk IS NOT NULL""",
         "cdc_actions": f"""
-            WITH src AS (SELECT source_table, tenant_id, source_pk, max(sha256(t)) AS h, bool_and({blank}) AS blank FROM (
-                SELECT 'article' AS source_table, tenant_id, CAST(id AS VARCHAR) AS source_pk, concat_ws(chr(10), title, body) AS t FROM article
-                UNION ALL SELECT 'product', tenant_id, CAST(id AS VARCHAR), concat_ws(chr(10), name, description) FROM product) GROUP BY ALL),
+            WITH src AS (SELECT source_table, tenant_id, source_pk, sha256(t) AS h, {blank} AS blank FROM (
+                SELECT 'article' AS source_table, tenant_id, CAST(id AS VARCHAR) AS source_pk, arg_max(concat_ws(chr(10), title, body), updated_at) AS t FROM article GROUP BY ALL
+                UNION ALL SELECT 'product', tenant_id, CAST(id AS VARCHAR), arg_max(concat_ws(chr(10), name, description), updated_at) FROM product GROUP BY ALL)),
             stored AS (SELECT source_table, tenant_id, source_pk, max(text_hash) AS sh FROM doc_vectors GROUP BY ALL),
             msg AS ({" UNION ALL ".join(f"SELECT * FROM ({_sql(t)} SELECT op, after_id, before_id, coalesce(" + '"after"->>' + f"'tenant_id', 'default') AS tenant_id, '{t}' AS source_table, CAST(after_id AS VARCHAR) AS source_pk FROM parsed)" for t in envelope.ROWS)})
             SELECT source_table, CASE WHEN source_table = 'comment' OR op NOT IN ('r', 'c', 'u', 'd') THEN 'ignored'

@@ -18,8 +18,12 @@ class BucketStore:
     these, are merged with it and written anew. A version is committed by creating the next
     manifest, which fails if another writer was first; files of a failed writer are in no manifest
     and so are never read. Readers of older versions keep their files until ``expire``. A batch
-    without rows commits nothing. The layout (keys, schema, buckets) is fixed when the store is
-    made; opening it with another one is refused."""
+    without rows commits nothing. The layout (keys, schema) is fixed when the store is
+    made; opening it with another one is refused. The number of buckets follows the size of the store: ``compact`` writes as many as its
+    bytes ask for, and a batch that finds buckets of twice GROW bytes has them divided first."""
+
+    #: Bytes of files that a bucket should have.
+    GROW = 128 << 20
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str, buckets: int = 16):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(keys), schema
@@ -48,7 +52,9 @@ class BucketStore:
         return json.loads(shared_fs.read_text(self.spark, f"{self.path}/manifests/{v[-1]:012d}.json")) if v else None
 
     def _commit(self, old: dict, files: dict, **more) -> int:
-        m = {"version": old["version"] + 1, "buckets": self.buckets, "keys": self.keys, "schema": self.schema, "files": files} | more
+        known = old.get("sizes", {})
+        sizes = {f: known.get(f) or shared_fs.size(self.spark, f"{self.path}/{f}") for fs in files.values() for f in fs}
+        m = {"version": old["version"] + 1, "buckets": self.buckets, "keys": self.keys, "schema": self.schema, "files": files, "sizes": sizes} | more
         if not shared_fs.write_new(self.spark, f"{self.path}/manifests/{m['version']:012d}.json", json.dumps(m)):
             raise RuntimeError(f"version {m['version']} of {self.path} was committed by another writer; apply the batch again")
         return m["version"]
@@ -70,7 +76,9 @@ class BucketStore:
     # writing
 
     def _old(self) -> dict:
-        return self.manifest() or {"version": 0, "files": {}}
+        m = self.manifest() or {"version": 0, "files": {}}
+        self.buckets = m.get("buckets", self.buckets)  # another writer may have divided them
+        return m
 
     def _new_part(self, old: dict) -> str:
         return f"data/{old['version'] + 1:012d}-{self.spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
@@ -91,6 +99,9 @@ class BucketStore:
         old = self._old()
         if batch is not None and old.get("batch", -1) >= batch:
             return old["version"]
+        if sum(old.get("sizes", {}).values()) > 2 * self.GROW * self.buckets:
+            self.compact()
+            old = self._old()
         part, delta = self._new_part(old), self.reduced(changes)
         if old["files"]:
             # the batch is reduced first; the result is kept for the two uses that follow
@@ -124,14 +135,16 @@ class BucketStore:
 
     # maintenance
 
-    def compact(self) -> int:
-        """Every bucket's files rewritten as one."""
+    def compact(self, target: int | None = None) -> int:
+        """All rows in as many buckets, of one file each, as ``target`` bytes a bucket (GROW if none is given) ask for; nothing
+        is written if that is within a factor of two of what there is."""
         old = self._old()
-        many = {b: fs for b, fs in old["files"].items() if len(fs) > 1}
-        if not many:
+        wanted = max(1, -(-sum(old.get("sizes", {}).values()) // (target or self.GROW)))
+        if not old["files"] or (all(len(fs) == 1 for fs in old["files"].values()) and wanted <= 2 * self.buckets and self.buckets <= 2 * wanted):
             return old["version"]
-        files = self._write(self._read([f for fs in many.values() for f in fs]), self._new_part(old))
-        return self._commit(old, old["files"] | files, batch=old.get("batch", -1))
+        self.buckets = wanted
+        files = self._write(self._read([f for fs in old["files"].values() for f in fs]), self._new_part(old))
+        return self._commit(old, files, **{k: v for k, v in old.items() if k in ("batch", "ledger", "dim")})
 
     def expire(self, keep: int = 5, older_than_ms: int | None = None) -> int:
         """Drop versions beyond the last ``keep`` (of these only ones written before a time, if given)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -13,7 +16,9 @@ def _fs(spark: SparkSession, path: str):
 
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Write text to a path that must not exist; False if it does. The text is written to a
-    side file first and renamed, so that a reader never sees half of it."""
+    side file first, so that a reader never sees half of it, and takes its name in one step that fails if the
+    name is taken: a hard link on a local file system, elsewhere a rename that does not replace (one step on HDFS; an object store
+    whose rename is a copy needs a single writer)."""
     fs, p = _fs(spark, path)
     if fs.exists(p):
         return False
@@ -24,12 +29,29 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if fs.exists(p) or not fs.rename(side, p):
-        fs.delete(side, False)
+    try:
+        if (p.toUri().getScheme() or fs.getScheme()) == "file":
+            os.link(side.toUri().getPath(), p.toUri().getPath())
+        else:
+            rename = jvm.org.apache.hadoop.fs.Options.Rename
+            none = spark.sparkContext._gateway.new_array(rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(side.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(side, p, none)
+    except FileExistsError:
         return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    finally:
+        fs.delete(side, False)
     return True
 
 
+def size(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     s = fs.open(p)
