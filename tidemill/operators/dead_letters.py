@@ -29,13 +29,16 @@ def to_quarantine(messages: DataFrame, error: Column, dlq_topic: str) -> DataFra
     return messages.select(F.lit(dlq_topic).alias("topic"), "key", "value", heads.alias("headers"))
 
 
-def split_replay(dlq: DataFrame, ends: DataFrame, max_replays: int = MAX_REPLAYS) -> DataFrame:
-    """Dead letters below the ends noted at the start, with fate: replay, archive or skip.
+def split_replay(dlq: DataFrame, ends: DataFrame, max_replays: int = MAX_REPLAYS, limit: int | None = None) -> DataFrame:
+    """Dead letters below the ends noted at the start, with fate: replay, archive or skip; with a limit, the first so many
+    by partition and offset.
 
     ends: partition, end. replay sends the message to its source topic with the count raised by
     one; archive keeps it after max_replays; a letter that doesn't name its topic is skipped."""
     d = dlq.join(ends, "partition").where(F.col("offset") < F.col("end")).drop("end")
     d = d.withColumns({"source_topic": header("source_topic"), "error": header("error", ""), "replay_count": F.coalesce(header("replay_count", "0").try_cast("int"), F.lit(0))})
+    if limit is not None:
+        d = d.orderBy("partition", "offset").limit(limit)
     fate = F.when(F.col("source_topic").isNull(), "skip").when(F.col("replay_count") >= max_replays, "archive").otherwise("replay")
     return d.withColumn("fate", fate)
 

@@ -53,10 +53,26 @@ def hashed(docs: DataFrame, max_chars: int = text.MAX_DOC_CHARS) -> DataFrame:
     return docs.withColumn("text", cut).withColumn("text_hash", text.text_hash(F.col("text")))
 
 
+def metadata_of() -> Column:
+    return F.to_json(F.struct("status", "title"), {"ignoreNullFields": "false"})
+
+
+def parent_keys(parsed: DataFrame, fk: str, parents: DataFrame, upper_fk: str | None = None, upper: DataFrame | None = None) -> DataFrame:
+    """(tenant_id, source_pk) of the existing parents, or parents' parents, of changed children.
+
+    parents: rows with tenant_id and id and, for a second level, upper_fk, which names rows of upper. A reference to a row that does
+    not exist, at either level, leads to nothing."""
+    own = parents.select("tenant_id", F.col("id").cast("string").alias("source_pk"), *([F.col(upper_fk).cast("string").alias("_up")] if upper_fk else []))
+    found = parents_to_rebuild(parsed, fk).join(own.distinct(), ["tenant_id", "source_pk"])
+    if not upper_fk:
+        return found.select("tenant_id", "source_pk").distinct()
+    top = upper.select("tenant_id", F.col("id").cast("string").alias("source_pk")).distinct()
+    return found.select("tenant_id", F.col("_up").alias("source_pk")).distinct().join(top, ["tenant_id", "source_pk"], "left_semi")
+
+
 def chunk_rows(docs: DataFrame, size: int = 400, overlap: int = 50) -> DataFrame:
     """Rows of the vector table without vectors: one per chunk of every document that isn't blank."""
-    meta = F.to_json(F.struct("status", "title"), {"ignoreNullFields": "false"})
-    c = docs.where(~F.col("blank")).select(*ROW_KEY, "text_hash", meta.alias("metadata"), F.posexplode(text.windows(F.col("text"), size, overlap)).alias("chunk_index", "content"))
+    c = docs.where(~F.col("blank")).select(*ROW_KEY, "text_hash", metadata_of().alias("metadata"), F.posexplode(text.windows(F.col("text"), size, overlap)).alias("chunk_index", "content"))
     name = (F.col("tenant_id"), F.col("source_table"), F.col("source_pk"), F.col("chunk_index"))
     return c.withColumn("vector_id", ids.vector_id(*name)).withColumn("point_id", ids.point_id(*name))
 

@@ -50,9 +50,9 @@ def ledger(log: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     return rows.groupBy("topic", "partition").agg(F.max("last_offset").alias("last_offset"))
 
 
-def backlog(ends: DataFrame, committed: DataFrame) -> DataFrame:
-    """Messages not yet handled: ends (partition, end) less committed (partition, last), 0 if none is."""
-    j = ends.join(committed, "partition", "left")
+def backlog(ends: DataFrame, committed: DataFrame, *by: str) -> DataFrame:
+    """Messages not yet handled: ends (by, end) less committed (by, last), 0 if none is; by the partition if nothing is given."""
+    j = ends.join(committed, list(by or ["partition"]), "left")
     return j.agg(F.sum(F.col("end") - F.coalesce("last", F.lit(0))).cast("bigint").alias("backlog"))
 
 
@@ -60,6 +60,18 @@ def lag_bytes(current: Column, confirmed: Column) -> Column:
     return F.coalesce(current - confirmed, F.lit(0))
 
 
+def gauges_at_end(log: DataFrame, at: str, bad: Column, minutes: int = 10, slot_minutes: int = 1440, alive_minutes: int = 1440) -> DataFrame:
+    """One row of what is true at the end of a log: dead letters a second in the last ``minutes``, whether every
+    topic has had a message in the last ``slot_minutes`` (1 or 0), and how many topics in the last ``alive_minutes``."""
+    end = log.agg(F.max(at).alias("_end")).withColumn("_k", F.lit(1))
+    ago = lambda m: F.col("_end") - F.make_dt_interval(mins=F.lit(m))
+    per = log.groupBy("topic").agg(F.max(at).alias("_last"), F.lit(1).alias("_k")).join(end, "_k")  # a row per topic
+    slots = per.agg(F.min((F.col("_last") > ago(slot_minutes)).cast("int")).alias("slot_active"), F.sum((F.col("_last") > ago(alive_minutes)).cast("int")).cast("int").alias("up"))
+    lately = log.where(bad).withColumn("_k", F.lit(1)).join(F.broadcast(end), "_k").where(F.col(at) > ago(minutes))  # one row
+    rate = lately.agg((F.count(F.lit(1)) / (60.0 * minutes)).alias("dead_letter_rate"))
+    return rate.join(slots, F.lit(True))
+
+
 #: When a gauge calls for attention.
 ALERTS = (
     ("delay_p99", "delay_p99 > 60"),

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tidemill.functions import ids, text, vectors
 from tidemill.model import INDEX_KEYS, TABLES
 from tidemill.operators import dead_letters, diff, documents, metrics, quality, reconcile, search
-from tidemill.plans.cdc import messages
+from tidemill.plans.cdc import _sql as feed_sql
+from tidemill.plans.cdc import messages, parsed
 from tidemill.session import fresh_dir, ship
 from tidemill.sources.golden import read_golden
 from tidemill.sources.tables import table
+from tidemill.sources.vector_store import VectorStore
 
 # --- documents ---------------------------------------------------------------------------
 
@@ -306,10 +308,10 @@ def ops_ledger(spark, sf_dir):
 
 
 def ops_backlog(spark, sf_dir):
-    log = _log(spark, sf_dir).where("source_table = 'comment'")
-    ends = log.groupBy("partition").agg((F.max("offset") + 1).alias("end"))
-    done = log.where("received_at < '2025-06-01' AND partition <> 1").groupBy("partition").agg((F.max("offset") + 1).alias("last"))
-    return metrics.backlog(ends, done)
+    log, by = _log(spark, sf_dir), ("topic", "partition")
+    ends = log.groupBy(*by).agg((F.max("offset") + 1).alias("end"))
+    done = log.where("received_at < '2025-06-01'").groupBy(*by).agg((F.max("offset") + 1).alias("last"))
+    return metrics.backlog(ends, done, *by)
 
 
 def ops_slot_lag(spark, sf_dir):
@@ -329,7 +331,46 @@ def ops_alerts(spark, sf_dir):
     lag = ops_slot_lag(spark, sf_dir).agg(F.max("lag_bytes").alias("slot_lag_bytes"))
     one = lambda d: d.withColumn("_k", F.lit(1))  # noqa: E731  # one row each
     g = one(p99).join(one(back), "_k").join(one(lag), "_k")
-    return metrics.alerts(g.withColumns({"dead_letter_rate": F.lit(0.0), "slot_active": F.lit(1), "up": F.lit(None).cast("int")}))
+    return metrics.alerts(g.join(one(metrics.gauges_at_end(_log(spark, sf_dir), "received_at", F.col("op").isNull())), "_k"))
+
+
+def ops_gauges(spark, sf_dir):
+    return metrics.gauges_at_end(_log(spark, sf_dir), "received_at", F.col("op").isNull(), minutes=1440)
+
+
+def ops_rates_by_action(spark, sf_dir):
+    """Messages a second in windows of five minutes by table and kind; dead letters are those without an op."""
+    r = metrics.rates(_log(spark, sf_dir).withColumn("action", F.coalesce("op", F.lit("dead letter"))), "received_at", "source_table", "action")
+    return r.withColumn("rate", F.round("rate", 9))
+
+
+def reconcile_preflight(spark, sf_dir):
+    return reconcile.preflight(*_keys(spark, sf_dir))
+
+
+def dlq_replay_limited(spark, sf_dir):
+    """The first letters only, as a careful replay takes them."""
+    d = _letters(spark, sf_dir)
+    s = dead_letters.split_replay(d, d.groupBy("partition").agg(F.max("offset").alias("end")), limit=20)
+    return s.select("partition", "offset", "source_topic", "fate")
+
+
+def cdc_parents_existing(spark, sf_dir):
+    """The existing articles that changed comments belong to."""
+    return documents.parent_keys(parsed(spark, sf_dir, "comment"), "article_id", table(spark, sf_dir, "article"))
+
+
+def vec_sink_sync(spark, sf_dir):
+    """The vector table, loaded into the sink and synchronised with the current source rows in one commit."""
+    store = VectorStore(spark, fresh_dir(spark, "vectors"))
+    rows = _items(spark, sf_dir)
+    store.load(rows)
+    docs = documents.hashed(current_sources(spark, sf_dir))
+    gone = rows.select(*documents.ROW_KEY).distinct().join(docs, documents.ROW_KEY, "left_anti")
+    ends = _log(spark, sf_dir).groupBy("topic", "partition").agg(F.max("offset").alias("n")).collect()  # a row per partition
+    store.sync(docs, vectors.hashed_words(512), ledger={f"{r.topic}/{r.partition}": r.n for r in ends}, gone=gone)
+    m = F.from_json("metadata", "status string, title string")
+    return store.rows().select("vector_id", "text_hash", m["status"].alias("status"), m["title"].alias("title"))
 
 
 # --- dead letters ------------------------------------------------------------------------
@@ -385,7 +426,7 @@ def queries() -> dict:
         doc_replace_rows doc_refresh_metadata doc_delete_rows doc_index_versions vec_unusable vec_topk vec_topk_status vec_rerank rag_context vec_stats vec_facets
         vec_tenant_view vec_embed eval_retrieval eval_report eval_golden eval_citations eval_generation_report reconcile_exact reconcile_approx reconcile_totals
         reconcile_history ops_action_counts ops_delay_histogram ops_delay_quantiles ops_rates ops_ledger ops_backlog ops_slot_lag ops_chunks_embedded ops_alerts
-        dlq_route dlq_replay_split dlq_replayed dlq_archived record_keys index_settings"""
+        ops_gauges ops_rates_by_action reconcile_preflight dlq_replay_limited cdc_parents_existing vec_sink_sync dlq_route dlq_replay_split dlq_replayed dlq_archived record_keys index_settings"""
     return {n: globals()[n] for n in names.split()}
 
 
@@ -440,8 +481,18 @@ _BOUNDS = "(VALUES " + ", ".join(f"({b}::DOUBLE)" for b in metrics.BOUNDS) + ",
 _HIST = _LOG + f""", hist AS (SELECT source_table, le, count(*) FILTER (greatest(delay, 0.0) <= le) AS n FROM (SELECT * FROM lg WHERE delay IS NOT NULL), {_BOUNDS} GROUP BY ALL),
 cum AS (SELECT *, coalesce(lag(le) OVER w, 0) AS lo, coalesce(lag(n) OVER w, 0) AS below, max(n) OVER (PARTITION BY source_table) AS total FROM hist WINDOW w AS (PARTITION BY source_table ORDER BY le))
 """
-_BACK = """SELECT CAST(sum(e - coalesce(d, 0)) AS BIGINT) AS backlog FROM (SELECT "partition", max("offset") + 1 AS e,
-    max("offset") FILTER (received_at < '2025-06-01' AND "partition" <> 1) + 1 AS d FROM lg WHERE source_table = 'comment' GROUP BY 1)"""
+_BACK = """SELECT CAST(sum(e - coalesce(d, 0)) AS BIGINT) AS backlog FROM (SELECT topic, "partition", max("offset") + 1 AS e,
+    max("offset") FILTER (received_at < '2025-06-01') + 1 AS d FROM lg GROUP BY 1, 2)"""
+_USABLE = """SELECT DISTINCT vector_id, tenant_id, source_table, source_pk, text_hash, metadata FROM doc_vectors WHERE coalesce(len(embedding) = 512
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0)), FALSE)"""
+
+
+def _gauges(minutes: int) -> str:
+    return f"""SELECT (SELECT count(*) / ({minutes} * 60.0::DOUBLE) FROM lg WHERE op IS NULL AND received_at > (SELECT max(received_at) FROM lg) - INTERVAL {minutes} MINUTE) AS dead_letter_rate,
+        CAST(min(CAST(alive AS INT)) AS INT) AS slot_active, CAST(sum(CAST(alive AS INT)) AS INT) AS up
+        FROM (SELECT topic, max(received_at) > (SELECT max(received_at) FROM lg) - INTERVAL 1440 MINUTE AS alive FROM lg GROUP BY 1)"""
+
+
 _LAG = "SELECT topic, coalesce(max(lsn) - max(lsn) FILTER (received_at < '2025-06-01'), 0) AS lag_bytes FROM cdc_to_iceberg GROUP BY 1"
 _DLQ = """WITH d AS (SELECT part_no AS "partition", log_offset AS "offset", msg_key, CASE WHEN log_offset % 10 <> 9 THEN topic END AS source_topic, CAST(log_offset % 7 AS VARCHAR) AS replay_count,
   'cannot reach postgres://app:***@db/x password = ***' AS error FROM cdc_to_iceberg WHERE op IS NULL),
@@ -510,8 +561,23 @@ def oracle_sql() -> dict[str, str]:
         "ops_chunks_embedded": _CHUNKS + "SELECT source_table, count(*) AS chunks FROM chunks GROUP BY 1",
         "ops_alerts": _HIST.replace("hist AS (SELECT source_table, le", "hist AS (SELECT 'all' AS source_table, le") + f"""
             SELECT 'delay_p99' AS alert, coalesce((SELECT {quantile} FROM cum, (VALUES (0.99::DOUBLE)) qs(q) WHERE n >= total * q ORDER BY le LIMIT 1) > 60, FALSE) AS firing
-            UNION ALL SELECT 'dead_letter_rate', FALSE UNION ALL SELECT 'dead_letter_backlog', coalesce(({_BACK}) > 100, FALSE) UNION ALL SELECT 'slot_inactive', FALSE
-            UNION ALL SELECT 'slot_lag', (SELECT max(lag_bytes) FROM ({_LAG})) > 268435456 UNION ALL SELECT 'worker_down', FALSE""",
+            UNION ALL SELECT 'dead_letter_rate', (SELECT dead_letter_rate > 0 FROM ({_gauges(10)})) UNION ALL SELECT 'dead_letter_backlog', coalesce(({_BACK}) > 100, FALSE) UNION ALL SELECT 'slot_inactive', (SELECT slot_active = 0 FROM ({_gauges(10)}))
+            UNION ALL SELECT 'slot_lag', (SELECT max(lag_bytes) FROM ({_LAG})) > 268435456 UNION ALL SELECT 'worker_down', (SELECT up = 0 FROM ({_gauges(10)}))""",
+        "ops_gauges": _LOG + _gauges(1440),
+        "ops_rates_by_action": _LOG + "SELECT time_bucket(INTERVAL 5 MINUTE, received_at, TIMESTAMP '1970-01-01') AS window_start, source_table, coalesce(op, 'dead letter') AS action, round(count(*) / 300.0::DOUBLE, 9) AS rate FROM lg GROUP BY ALL",
+        "reconcile_preflight": """WITH s AS (SELECT 'article' AS t, tenant_id, CAST(id AS VARCHAR) AS k FROM article UNION ALL SELECT 'product', tenant_id, CAST(id AS VARCHAR) FROM product)
+            SELECT 'source has rows' AS "check", (SELECT count(*) FROM s) > 0 AS ok UNION ALL SELECT 'index has rows', (SELECT count(*) FROM doc_vectors) > 0
+            UNION ALL SELECT 'source keys are whole', (SELECT count(*) FROM s WHERE tenant_id IS NULL OR k IS NULL) = 0
+            UNION ALL SELECT 'index keys are whole', (SELECT count(*) FROM doc_vectors WHERE tenant_id IS NULL OR source_pk IS NULL) = 0
+            UNION ALL SELECT 'index tables are known', NOT EXISTS (SELECT 1 FROM doc_vectors WHERE source_table NOT IN (SELECT t FROM s))""",
+        "dlq_replay_limited": _DLQ + 'SELECT "partition", "offset", source_topic, fate FROM s ORDER BY "partition", "offset" LIMIT 20',
+        "cdc_parents_existing": feed_sql("comment") + """SELECT DISTINCT tenant_id, source_pk FROM (SELECT coalesce("after"->>'tenant_id', "before"->>'tenant_id') AS tenant_id,
+            coalesce("after"->>'article_id', "before"->>'article_id') AS source_pk FROM parsed) SEMI JOIN (SELECT tenant_id, CAST(id AS VARCHAR) AS source_pk FROM article) USING (tenant_id, source_pk)""",
+        "vec_sink_sync": _SYNC.replace("FROM doc_vectors", f"FROM ({_USABLE})") + f""", chunks AS ({_windows('docs', key + ', text_hash, status, title')})
+            SELECT vector_id, v.text_hash AS text_hash, CASE WHEN action = 'metadata_refreshed' THEN d.status ELSE metadata->>'status' END AS status,
+                CASE WHEN action = 'metadata_refreshed' THEN d.title ELSE metadata->>'title' END AS title
+            FROM ({_USABLE}) v JOIN sync USING ({key}) LEFT JOIN docs d USING ({key}) WHERE action = 'metadata_refreshed'
+            UNION ALL SELECT sha256(concat(tenant_id, ':', source_table, ':', source_pk, ':', chunk_index)), text_hash, status, title FROM chunks SEMI JOIN (SELECT * FROM sync WHERE action = 'upserted') USING ({key})""",
         "dlq_route": _DLQ + 'SELECT "partition", "offset", source_topic, replay_count, error FROM d',
         "dlq_replay_split": _DLQ + "SELECT fate, count(*) AS n FROM s GROUP BY 1",
         "dlq_replayed": _DLQ + "SELECT source_topic AS topic, msg_key AS key, CAST(replay_count AS INT) + 1 AS replay_count FROM s WHERE fate = 'replay'",
