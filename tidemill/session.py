@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -38,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {SHARED_DIR_KEY} to a folder that all executors share")
-        d = "file://" + tempfile.mkdtemp(prefix="tidemill-")
+        own = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        d = "file://" + own
         spark.conf.set(SHARED_DIR_KEY, d)
     return d.rstrip("/")
 
@@ -57,9 +61,24 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_made: list[str] = []
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new path under the shared folder, until ``release``."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this process wrote under the shared folder, once no frame that was made of it is needed; how many paths.
+    A temporary folder of a local session goes at the end of the process."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _made:
+        p = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def written(df, label: str):
